@@ -180,7 +180,11 @@ def feed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _LANDED:
         path = new_folder(spark, name)
-        derived(spark, sf_dir, name).write.parquet(path)
+        rows = derived(spark, sf_dir, name)
+        cores = spark.sparkContext.defaultParallelism
+        if len(rows.inputFiles()) < cores:  # one small test file would land as one file
+            rows = rows.repartition(cores)
+        rows.write.parquet(path)
         _LANDED[key] = path
     return spark.read.parquet(_LANDED[key])
 

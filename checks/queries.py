@@ -110,25 +110,27 @@ def _tally(df: DataFrame, *columns) -> DataFrame:
     return shown(df.groupBy(*columns).agg(F.count("*").alias("no_rows")))
 
 
+def _prepared(spark, sf_dir):
+    return N.with_texts(feed(spark, sf_dir, "raw_internal"))
+
+
 def internal_location(spark, sf_dir):
-    curve = F.col("index_name")
     return _tally(
-        feed(spark, sf_dir, "raw_internal"), curve, I.location(curve).alias("location_name")
+        _prepared(spark, sf_dir), "index_name", I.location(F.col("hub")).alias("location_name")
     )
 
 
 def internal_period(spark, sf_dir):
-    pub, curve = F.col("publication"), F.col("index_name")
     return _tally(
-        feed(spark, sf_dir, "raw_internal"), pub, curve,
-        I.period(pub, curve).alias("period_duration"),
+        _prepared(spark, sf_dir), "publication", "index_name",
+        I.period(F.col("pub_words"), F.col("curve_words")).alias("period_duration"),
     )
 
 
 def internal_publication(spark, sf_dir):
-    pub, curve = F.col("publication"), F.col("index_name")
+    pub, curve = F.col("pub_upper"), F.col("curve_upper")
     return _tally(
-        feed(spark, sf_dir, "raw_internal"), pub, curve,
+        _prepared(spark, sf_dir), "publication", "index_name",
         I.publication_name(pub, curve).alias("publication_name"),
         I.product_name(pub, curve).alias("product_name"),
         I.product_type(pub, curve).alias("product_type"),
@@ -150,7 +152,7 @@ def internal_units(spark, sf_dir):
 
 
 def curve_filter(spark, sf_dir):
-    kept = N.drop_unquoted_curves(feed(spark, sf_dir, "raw_internal"))
+    kept = N.drop_unquoted_curves(_prepared(spark, sf_dir))
     return _tally(kept, "index_name", "publication")
 
 
@@ -164,10 +166,9 @@ def relative_period_duration(spark, sf_dir):
 
 
 def month_ahead_end(spark, sf_dir):
-    raw = feed(spark, sf_dir, "raw_internal")
-    product = I.product_name(F.col("publication"), F.col("index_name"))
+    product = I.product_name(F.col("pub_upper"), F.col("curve_upper"))
     return _tally(
-        raw.withColumn("product_name", product), "product_name", "pub_date", "end_date",
+        _prepared(spark, sf_dir).withColumn("product_name", product), "product_name", "pub_date", "end_date",
         I.month_ahead_end(F.col("product_name"), F.col("pub_date"), F.col("end_date")).alias(
             "fixed_end_date"
         ),
@@ -385,7 +386,7 @@ def stage_metrics(spark, sf_dir):
     raw = feed(spark, sf_dir, "raw_internal")
     return report.stage_metrics(
         loaded=raw,
-        quoted_curves=N.drop_unquoted_curves(raw),
+        quoted_curves=N.drop_unquoted_curves(N.with_texts(raw)),
         priced=N.internal_rows(raw),
         stored=internal_quotes(spark, sf_dir),
     )

@@ -4,7 +4,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from quotebridge import fixed_values as V
-from quotebridge.functions.text import contains_any, first_match, literal_array, token
+from quotebridge.functions.text import contains_any, first_match, has_word, padded_words
 
 # Durations tried in this order; the first word list that shares a token wins.
 _LONG_PERIODS = [
@@ -18,17 +18,41 @@ _LONG_PERIODS = [
 _SHORT_PERIODS = [("Day", V.DAY_WORDS), ("Weekend", V.WEEKEND_WORDS)]
 
 
-def is_unquoted_curve(index_name: Column) -> Column:
+def texts(publication: Column, index_name: Column) -> dict[str, Column]:
+    """Prepared forms of the two names, computed once per row.
+
+    The rules below test them dozens of times; they take the prepared columns so that no
+    rule lower-cases, splits or pads a name again.
+    """
+    return {
+        "pub_upper": F.upper(publication),
+        "pub_words": padded_words(publication),
+        "curve_lower": F.lower(index_name),
+        "curve_upper": F.upper(index_name),
+        "curve_words": padded_words(index_name),
+        "hub": hub(index_name),
+    }
+
+
+def is_unquoted_curve(curve_lower: Column) -> Column:
     """Curves that carry no published quote, recognised by a fragment of the name."""
-    fragments = sorted({f.lower() for f in V.UNQUOTED_CURVE_FRAGMENTS})
-    return F.lower(index_name).rlike("|".join(fragments))
+    return contains_any(curve_lower, [f.lower() for f in V.UNQUOTED_CURVE_FRAGMENTS])
+
 
+def is_legacy(pub_upper: Column) -> Column:
+    return pub_upper.contains(V.LEGACY_MARK.upper())
 
-def location(index_name: Column) -> Column:
-    """Hub code: third '_' token of the curve name up to the first '.'."""
-    hub = token(token(index_name, "_", 2), r"\.", 0)
-    name = F.upper(hub)
-    long_name = F.length(hub) > 3
+
+def hub(index_name: Column) -> Column:
+    """Third '_' part of the curve name up to the first '.'; null when there is none."""
+    third = F.split_part(index_name, F.lit("_"), F.lit(3))
+    return F.nullif(F.split_part(third, F.lit("."), F.lit(1)), F.lit(""))
+
+
+def location(hub_name: Column) -> Column:
+    """Hub code of the hub part of a curve name."""
+    name = F.upper(hub_name)
+    long_name = F.length(hub_name) > 3
     return first_match(
         [
             (name == "ZBH", F.lit("ZEE")),
@@ -36,32 +60,19 @@ def location(index_name: Column) -> Column:
             (long_name & (name == "ZEEHUB"), F.lit("ZEE")),
             (long_name & name.contains("PEG"), F.lit("PEG")),
         ],
-        hub,
+        hub_name,
     )
 
 
-def _words(text: Column) -> Column:
-    return F.split(_spaced(text), " ")
-
-
-def _spaced(text: Column) -> Column:
-    return F.regexp_replace(F.lower(text), r"[_+\-.]", " ")
-
-
 def _period_from(words: Column, periods: list[tuple[str, list[str]]], default: str) -> Column:
-    return first_match(
-        [(F.arrays_overlap(words, literal_array(ws)), F.lit(p)) for p, ws in periods],
-        F.lit(default),
-    )
+    return first_match([(has_word(words, ws), F.lit(p)) for p, ws in periods], F.lit(default))
 
 
-def period(publication: Column, index_name: Column) -> Column:
+def period(pub_words: Column, curve_words: Column) -> Column:
     """Delivery duration. General-purpose publications take it from the curve name."""
-    from_curve = _period_from(_words(index_name), _LONG_PERIODS, "Day")
-    from_publication = _period_from(
-        _words(publication), _LONG_PERIODS + _SHORT_PERIODS, V.UNDETERMINED
-    )
-    return F.when(_spaced(publication).contains(V.GENERAL_PUBLICATION), from_curve).otherwise(
+    from_curve = _period_from(curve_words, _LONG_PERIODS, "Day")
+    from_publication = _period_from(pub_words, _LONG_PERIODS + _SHORT_PERIODS, V.UNDETERMINED)
+    return F.when(pub_words.contains(V.GENERAL_PUBLICATION), from_curve).otherwise(
         from_publication
     )
 
@@ -73,47 +84,44 @@ def period_of_relative(period_rel: Column) -> Column:
     )
 
 
-def _is_exchange(publication: Column) -> Column:
-    return contains_any(F.upper(publication), V.EXCHANGE_PUBLICATION_MARKS)
+def _is_exchange(pub_upper: Column) -> Column:
+    return contains_any(pub_upper, V.EXCHANGE_PUBLICATION_MARKS)
 
 
-def _is_assessor(publication: Column, index_name: Column) -> Column:
-    return F.upper(publication).contains(V.ASSESSOR_PUBLICATION_MARK) | F.upper(
-        index_name
-    ).contains(V.ASSESSOR_CURVE_MARK)
+def _is_assessor(pub_upper: Column, curve_upper: Column) -> Column:
+    return pub_upper.contains(V.ASSESSOR_PUBLICATION_MARK) | curve_upper.contains(
+        V.ASSESSOR_CURVE_MARK
+    )
 
 
-def publication_name(publication: Column, index_name: Column) -> Column:
-    return F.when(_is_exchange(publication), V.EXCHANGE_PUBLICATION).when(
-        _is_assessor(publication, index_name), V.ASSESSOR_PUBLICATION
+def publication_name(pub_upper: Column, curve_upper: Column) -> Column:
+    return F.when(_is_exchange(pub_upper), V.EXCHANGE_PUBLICATION).when(
+        _is_assessor(pub_upper, curve_upper), V.ASSESSOR_PUBLICATION
     )
 
 
-def product_name(publication: Column, index_name: Column) -> Column:
-    pub, curve = F.upper(publication), F.upper(index_name)
+def product_name(pub_upper: Column, curve_upper: Column) -> Column:
     exchange_product = first_match(
-        [(pub.contains("EOD"), F.lit("EOD")), (pub.contains("EGSI"), F.lit("EGSI"))],
-        F.lit(V.SETTLEMENT),
+        [(pub_upper.contains(p), F.lit(p)) for p in ("EOD", "EGSI")], F.lit(V.SETTLEMENT)
     )
     index_product = first_match(
-        [(curve.contains(mark), F.lit(name)) for mark, name in V.INDEX_PRODUCTS],
+        [(curve_upper.contains(mark), F.lit(name)) for mark, name in V.INDEX_PRODUCTS],
         F.lit(V.UNKNOWN_INDEX),
     )
-    assessment = F.when(curve.contains(V.CONTINENTAL_MARK), V.CONTINENTAL_ASSESSMENTS).otherwise(
-        V.ASSESSMENTS
-    )
-    return F.when(_is_exchange(publication), exchange_product).when(
-        _is_assessor(publication, index_name),
-        F.when(curve.contains(V.INDEX_CURVE_MARK), index_product).otherwise(assessment),
+    assessment = F.when(
+        curve_upper.contains(V.CONTINENTAL_MARK), V.CONTINENTAL_ASSESSMENTS
+    ).otherwise(V.ASSESSMENTS)
+    return F.when(_is_exchange(pub_upper), exchange_product).when(
+        _is_assessor(pub_upper, curve_upper),
+        F.when(curve_upper.contains(V.INDEX_CURVE_MARK), index_product).otherwise(assessment),
     )
 
 
-def product_type(publication: Column, index_name: Column) -> Column:
-    pub = F.upper(publication)
+def product_type(pub_upper: Column, curve_upper: Column) -> Column:
     return F.when(
-        _is_exchange(publication),
-        F.when(contains_any(pub, ["EOD", "EGSI"]), V.SPOT).otherwise(V.FUTURES),
-    ).when(_is_assessor(publication, index_name), V.SPOT)
+        _is_exchange(pub_upper),
+        F.when(contains_any(pub_upper, ["EOD", "EGSI"]), V.SPOT).otherwise(V.FUTURES),
+    ).when(_is_assessor(pub_upper, curve_upper), V.SPOT)
 
 
 def currency(raw: Column) -> Column:

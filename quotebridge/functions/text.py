@@ -32,5 +32,16 @@ def token(text: Column, separator: str, position: int) -> Column:
     return F.get(parts, F.size(parts) + F.lit(position))
 
 
+def padded_words(text: Column, separators: str = "_+-.") -> Column:
+    """Lower-case words with one space on each side, ready for ``has_word``."""
+    spaced = F.translate(F.lower(text), separators, " " * len(separators))
+    return F.concat(F.lit(" "), spaced, F.lit(" "))
+
+
+def has_word(padded: Column, words: list[str]) -> Column:
+    """True when one of the words occurs as a whole word of ``padded_words`` text."""
+    return contains_any(padded, [f" {w} " for w in words])
+
+
 def literal_array(words: list[str]) -> Column:
     return F.array(*[F.lit(w) for w in words])

@@ -6,6 +6,9 @@ from pyspark.sql import functions as F
 from quotebridge import fixed_values as V
 from quotebridge.operators.skew import salted_join
 
+# Copies of a key are already counted together when keys are matched; few salts are enough.
+_COUNTED_SALTS = 8
+
 
 def inconsistent_quotes(df: DataFrame) -> DataFrame:
     """Keys quoted more than once with different prices."""
@@ -38,7 +41,7 @@ def inconsistent_detail(df: DataFrame) -> DataFrame:
         .filter(F.col("_min") != F.col("_max"))
         .select("price_uk")
     )
-    return salted_join(counted, conflicts, ["price_uk"], "left_semi")
+    return salted_join(counted, conflicts, ["price_uk"], "left_semi", _COUNTED_SALTS)
 
 
 def conflicting_curves(df: DataFrame) -> DataFrame:
@@ -53,11 +56,12 @@ def conflicting_curves(df: DataFrame) -> DataFrame:
         .filter(F.col("_min") != F.col("_max"))
         .select("price_uk")
     )
-    candidates = per_curve.filter(
-        F.col("src_price_id").rlike("|".join(V.CONFLICT_CURVE_MARKS))
-    ).select("price_uk", "src_price_id")
+    # Tied to an aggregate value on purpose: a filter on the curve alone would move below the
+    # aggregation, and the two uses of ``per_curve`` could no longer share one shuffle.
+    marked = F.col("src_price_id").rlike("|".join(V.CONFLICT_CURVE_MARKS))
+    candidates = per_curve.filter(F.when(marked, F.col("_max") >= F.col("_min")))
     return (
-        salted_join(candidates, conflicts, ["price_uk"], "left_semi")
+        salted_join(candidates, conflicts, ["price_uk"], "left_semi", _COUNTED_SALTS)
         .select("src_price_id")
         .distinct()
     )

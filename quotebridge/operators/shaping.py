@@ -11,22 +11,25 @@ from quotebridge.functions.prices import price_key
 from quotebridge.schema import QUOTE, REQUIRED_QUOTE_COLUMNS
 
 
-def computed_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
-    """Exactly these columns, each evaluated once per row.
+def with_computed(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add columns that are evaluated once per row.
 
     Filters on an ordinary projection are rewritten into its expressions, which repeats long
-    vocabulary rules for every filter. The one-row generator keeps later filters above it.
+    vocabulary rules for every filter. A one-row generator keeps later filters above it. It
+    also gives the rules a generated method of their own, small enough for the JIT compiler;
+    a method beyond 8000 bytes of code would run interpreted.
     """
     row = F.struct(*[column.alias(name) for name, column in columns.items()])
-    return df.select(F.inline(F.array(row)))
+    kept = [c for c in df.columns if c not in columns]
+    return df.select(*[F.col(c) for c in kept], F.inline(F.array(row)))
 
 
 def to_canonical(df: DataFrame) -> DataFrame:
-    """Build the price key and project to the 20 canonical columns and types.
+    """Project to the 20 canonical columns and types, building the price key if absent.
 
     Columns the supplier does not deliver become NULL (never NaN).
     """
-    keyed = df.withColumn("price_uk", price_key())
+    keyed = df if "price_uk" in df.columns else with_computed(df, {"price_uk": price_key()})
     have = set(keyed.columns)
     return keyed.select(*[
         (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)

@@ -17,10 +17,10 @@ from quotebridge.functions.text import value_map
 from quotebridge.operators.dedupe import dedupe_quotes, newest_first
 from quotebridge.operators.quality import drop_conflicting_curves
 from quotebridge.operators.shaping import (
-    computed_once,
     to_canonical,
     union_present,
     valid_quotes,
+    with_computed,
 )
 from quotebridge.schema import QUOTE
 
@@ -32,48 +32,59 @@ def _holds(condition: Column) -> Column:
 
 # --- trading system ------------------------------------------------------------------------
 
-def drop_unquoted_curves(raw: DataFrame) -> DataFrame:
+def with_texts(raw: DataFrame) -> DataFrame:
+    """Raw rows with the prepared name columns of ``functions.internal.texts``."""
+    return with_computed(raw, I.texts(F.col("publication"), F.col("index_name")))
+
+
+def drop_unquoted_curves(prepared: DataFrame) -> DataFrame:
     """Drop curves that are not quoted prices and publications marked as legacy."""
-    return raw.filter(
-        ~I.is_unquoted_curve(F.col("index_name"))
-        & ~F.lower("publication").contains(V.LEGACY_MARK)
+    return prepared.filter(
+        ~I.is_unquoted_curve(F.col("curve_lower")) & ~I.is_legacy(F.col("pub_upper"))
     )
 
 
 def internal_rows(raw: DataFrame) -> DataFrame:
-    publication, curve = F.col("publication"), F.col("index_name")
+    pub, curve = F.col("pub_upper"), F.col("curve_upper")
     currency = I.currency(F.col("currency"))
-    quoted = computed_once(drop_unquoted_curves(raw), {
-        "publication_name": I.publication_name(publication, curve),
-        "data_source": F.lit(V.INTERNAL_DATA_SOURCE),
-        "commodity_type": value_map(F.col("commodity"), {V.COMMODITY_RAW: V.COMMODITY}),
-        "product_type": I.product_type(publication, curve),
-        "product_name": I.product_name(publication, curve),
-        "location_name": I.location(curve),
-        "pub_date": F.col("pub_date").cast("date"),
-        "period_rel": F.lit(""),
-        "period_abs": F.lit(""),
-        "period_duration": I.period(publication, curve),
-        "start_date": F.lit(None).cast("date"),
-        "end_date": F.col("end_date").cast("date"),
-        "price_bid": F.lit(None).cast("double"),
-        "price_mid": I.price_in_quoted_currency(F.col("price"), currency),
-        "price_offer": F.lit(None).cast("double"),
-        "currency": currency,
-        "unit": I.unit(F.col("unit")),
-        "src_last_update": F.col("last_update").cast("timestamp"),
-        "src_price_id": curve,
-    })
     repeated_day = F.col("pub_date") == F.col("end_date")
-    return (
-        quoted.filter(F.col("period_duration") != V.UNDETERMINED)
-        .withColumn(
-            "end_date",
-            I.month_ahead_end(F.col("product_name"), F.col("pub_date"), F.col("end_date")),
-        )
-        .filter(~_holds(repeated_day & (F.col("period_duration") != "Day")))
-        .withColumn("price_uk", price_key())
+    quoted = drop_unquoted_curves(with_texts(raw))
+    with_period = with_computed(
+        quoted, {"period_duration": I.period(F.col("pub_words"), F.col("curve_words"))}
+    ).filter(F.col("period_duration") != V.UNDETERMINED)
+    described = with_computed(with_period, {
+        "publication_name": I.publication_name(pub, curve),
+        "product_type": I.product_type(pub, curve),
+        "product_name": I.product_name(pub, curve),
+        "location_name": I.location(F.col("hub")),
+    })
+    dated = with_computed(described, {
+        "end_date": I.month_ahead_end(
+            F.col("product_name"), F.col("pub_date"), F.col("end_date")
+        ),
+    }).filter(~_holds(repeated_day & (F.col("period_duration") != "Day")))
+    quotes = dated.select(
+        "publication_name",
+        F.lit(V.INTERNAL_DATA_SOURCE).alias("data_source"),
+        value_map(F.col("commodity"), {V.COMMODITY_RAW: V.COMMODITY}).alias("commodity_type"),
+        "product_type",
+        "product_name",
+        "location_name",
+        F.col("pub_date").cast("date").alias("pub_date"),
+        F.lit("").alias("period_rel"),
+        F.lit("").alias("period_abs"),
+        "period_duration",
+        F.lit(None).cast("date").alias("start_date"),
+        F.col("end_date").cast("date").alias("end_date"),
+        F.lit(None).cast("double").alias("price_bid"),
+        I.price_in_quoted_currency(F.col("price"), currency).alias("price_mid"),
+        F.lit(None).cast("double").alias("price_offer"),
+        currency.alias("currency"),
+        I.unit(F.col("unit")).alias("unit"),
+        F.col("last_update").cast("timestamp").alias("src_last_update"),
+        F.col("index_name").alias("src_price_id"),
     )
+    return with_computed(quotes, {"price_uk": price_key()})
 
 
 def normalize_internal(raw: DataFrame, drop_conflicts: bool = True) -> DataFrame:
@@ -253,7 +264,7 @@ def assessor_rows(assessments: DataFrame, indices: DataFrame, data_source: str)
         "src_last_update": F.col("src_last_update").try_cast("timestamp"),
         "data_source": F.lit(data_source),
     })
-    return drop_rolled_bom(typed).withColumn("price_uk", price_key())
+    return with_computed(drop_rolled_bom(typed), {"price_uk": price_key()})
 
 
 def normalize_assessor(assessments: DataFrame, indices: DataFrame, data_source: str) -> DataFrame:
