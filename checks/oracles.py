@@ -448,7 +448,7 @@ ORACLES = {
     "merge_into_table": _quotes("merged_newer"),
     "merge_comparison_table": _shown("(SELECT * REPLACE (price_match || ' again' AS price_match) FROM compared_run)", stamps=("comparison_date",), **_COMPARED_SHOWN),
     "merge_report_table": _sql(_BY_DATE),
-    "overwrite_days": _quotes("(SELECT * REPLACE (CASE WHEN day(pub_date) <= 15 THEN 'new' ELSE period_rel END AS period_rel) FROM internal_quotes)"),
+    "overwrite_days": _quotes("(SELECT * REPLACE (CASE WHEN month(pub_date) <= 6 THEN 'new' ELSE period_rel END AS period_rel) FROM internal_quotes)"),
     "compacted_table": _quotes("internal_quotes"),
     "exported_report": _REPORT,
     "exported_comparison": _shown("compared_run", stamps=("comparison_date",), **_COMPARED_SHOWN),

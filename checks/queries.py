@@ -86,21 +86,52 @@ def assessor_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def published_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shaping.all_quotes(exchange_quotes(spark, sf_dir), assessor_quotes(spark, sf_dir))
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def stored(spark: SparkSession, sf_dir: str, build: Query) -> DataFrame:
+    """Normalized quotes of one supplier as a table, written once per session and data directory.
+
+    Comparison, reports and merges start from quote tables, as they do in daily operation.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, build.__name__)
+    if key not in _STORED:
+        path = new_folder(spark, build.__name__)
+        tables.export_files(build(spark, sf_dir), path)
+        _STORED[key] = path
+    return tables.read_table(spark, _STORED[key])
+
+
+def internal_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored(spark, sf_dir, internal_quotes)
+
+
+def exchange_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored(spark, sf_dir, exchange_quotes)
+
+
+def assessor_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored(spark, sf_dir, assessor_quotes)
+
+
+def published_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shaping.all_quotes(exchange_table(spark, sf_dir), assessor_table(spark, sf_dir))
 
 
 def every_quote(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shaping.all_quotes(
-        internal_quotes(spark, sf_dir), exchange_quotes(spark, sf_dir),
-        assessor_quotes(spark, sf_dir),
+        internal_table(spark, sf_dir), exchange_table(spark, sf_dir),
+        assessor_table(spark, sf_dir),
     )
 
 
+def _run_ts():
+    return F.lit(RUN_TS).cast("timestamp")
+
+
 def comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.reconcile(
-        internal_quotes(spark, sf_dir), published_quotes(spark, sf_dir),
-        run_ts=F.lit(RUN_TS).cast("timestamp"),
+        internal_table(spark, sf_dir), published_table(spark, sf_dir), run_ts=_run_ts()
     )
 
 
@@ -312,24 +343,24 @@ def drop_conflicting_curves(spark, sf_dir):
 
 
 def zero_prices(spark, sf_dir):
-    return shown(quality.zero_prices(internal_quotes(spark, sf_dir)))
+    return shown(quality.zero_prices(internal_table(spark, sf_dir)))
 
 
 def price_stats(spark, sf_dir):
-    return shown(quality.price_stats(internal_quotes(spark, sf_dir)))
+    return shown(quality.price_stats(internal_table(spark, sf_dir)))
 
 
 # --- comparison ------------------------------------------------------------------------------
 
 def reconcile(spark, sf_dir):
     return shown(R.reconcile(
-        internal_quotes(spark, sf_dir), published_quotes(spark, sf_dir), with_rule=True
+        internal_table(spark, sf_dir), published_table(spark, sf_dir), with_rule=True
     ))
 
 
 def reconcile_window(spark, sf_dir):
     return shown(R.reconcile(
-        internal_quotes(spark, sf_dir), published_quotes(spark, sf_dir), *WINDOW
+        internal_table(spark, sf_dir), published_table(spark, sf_dir), *WINDOW
     ))
 
 
@@ -343,8 +374,8 @@ def comparison_in_order(spark, sf_dir):
 
 
 def unreconciled(spark, sf_dir):
-    internal = internal_quotes(spark, sf_dir)
-    compared = R.reconcile(internal, published_quotes(spark, sf_dir))
+    internal = internal_table(spark, sf_dir)
+    compared = R.reconcile(internal, published_table(spark, sf_dir))
     return shown(R.unreconciled(internal, compared))
 
 
@@ -367,7 +398,12 @@ def generic_all_sorted(spark, sf_dir):
 # --- reports and lookups ---------------------------------------------------------------------
 
 def daily_report(spark, sf_dir):
-    return report.daily_report(comparison(spark, sf_dir))
+    """From the raw supplier feeds to the report, as one plan."""
+    published = shaping.all_quotes(
+        exchange_quotes(spark, sf_dir), assessor_quotes(spark, sf_dir)
+    )
+    compared = R.reconcile(internal_quotes(spark, sf_dir), published, run_ts=_run_ts())
+    return report.daily_report(compared)
 
 
 def match_stats_by_date(spark, sf_dir):
@@ -393,32 +429,32 @@ def stage_metrics(spark, sf_dir):
 
 
 def latest_pub_date(spark, sf_dir):
-    return shown(report.latest_pub_date(assessor_quotes(spark, sf_dir)))
+    return shown(report.latest_pub_date(assessor_table(spark, sf_dir)))
 
 
 def latest_pub_date_quotes(spark, sf_dir):
-    return shown(report.latest_pub_date_quotes(assessor_quotes(spark, sf_dir)))
+    return shown(report.latest_pub_date_quotes(assessor_table(spark, sf_dir)))
 
 
 def forward_curve(spark, sf_dir):
-    return shown(report.forward_curve(assessor_quotes(spark, sf_dir), "NBP"))
+    return shown(report.forward_curve(assessor_table(spark, sf_dir), "NBP"))
 
 
 def quotes_of_hub(spark, sf_dir):
     return shown(report.lookup(
-        internal_quotes(spark, sf_dir), ["pub_date", "price_uk"], limit=5, location_name="NBP"
+        internal_table(spark, sf_dir), ["pub_date", "price_uk"], limit=5, location_name="NBP"
     ))
 
 
 def spot_quotes_of_hub_and_day(spark, sf_dir):
     return shown(report.lookup(
-        exchange_quotes(spark, sf_dir), ["pub_date", "price_uk"],
+        exchange_table(spark, sf_dir), ["pub_date", "price_uk"],
         location_name="TTF", product_type="Spot", pub_date=date(1998, 3, 2),
     ))
 
 
 def first_quotes(spark, sf_dir):
-    return shown(report.lookup(assessor_quotes(spark, sf_dir), ["price_uk"], limit=10))
+    return shown(report.lookup(assessor_table(spark, sf_dir), ["price_uk"], limit=10))
 
 
 def first_mismatches(spark, sf_dir):
@@ -442,7 +478,7 @@ def merge_source(target: DataFrame) -> DataFrame:
 
 
 def _merged(spark, sf_dir, mode):
-    target = exchange_quotes(spark, sf_dir)
+    target = exchange_table(spark, sf_dir)
     return shown(M.merge_rows(target, merge_source(target), ["price_uk"], mode))
 
 
@@ -459,7 +495,7 @@ def merge_insert_only(spark, sf_dir):
 
 
 def merge_changes(spark, sf_dir):
-    target = exchange_quotes(spark, sf_dir)
+    target = exchange_table(spark, sf_dir)
     return shown(M.changed_rows(target, merge_source(target), ["price_uk"]))
 
 
@@ -473,46 +509,54 @@ def history_as_of(spark, sf_dir):
     return shown(at_three.filter(F.col("price_match") == V.MISMATCH))
 
 
+def _by_month(df: DataFrame) -> DataFrame:
+    """The test tables are thin: partition by month instead of day."""
+    return df.withColumn("pub_month", F.date_format("pub_date", "yyyy-MM"))
+
+
 def merge_into_table(spark, sf_dir):
     path = new_folder(spark, "quotes")
-    target = exchange_quotes(spark, sf_dir)
-    tables.merge_into(spark, path, target, ["price_uk"])
-    tables.merge_into(spark, path, merge_source(target), ["price_uk"])
+    target = _by_month(exchange_table(spark, sf_dir))
+    tables.merge_into(spark, path, target, ["price_uk"], partition="pub_month")
+    tables.merge_into(spark, path, merge_source(target), ["price_uk"], partition="pub_month")
     return shown(tables.read_table(spark, path).select(*QUOTE_COLUMNS))
 
 
 def merge_comparison_table(spark, sf_dir):
     path = new_folder(spark, "compared")
     compared = comparison(spark, sf_dir)
-    tables.merge_into(spark, path, compared, PAIR_KEY, M.UPDATE_ALL)
-    again = compared.withColumn("price_match", F.concat("price_match", F.lit(" again")))
-    tables.merge_into(spark, path, again, PAIR_KEY, M.UPDATE_ALL)
+    rows = _by_month(compared)
+    tables.merge_into(spark, path, rows, PAIR_KEY, M.UPDATE_ALL, partition="pub_month")
+    again = rows.withColumn("price_match", F.concat("price_match", F.lit(" again")))
+    tables.merge_into(spark, path, again, PAIR_KEY, M.UPDATE_ALL, partition="pub_month")
     return shown(tables.read_table(spark, path).select(*compared.columns))
 
 
 def merge_report_table(spark, sf_dir):
-    """One report per comparison day; a second run of the same day changes nothing."""
+    """One report per day; a later run of the same day changes nothing."""
     path = new_folder(spark, "report")
     by_day = report.match_stats_by_date(comparison(spark, sf_dir))
-    tables.merge_into(spark, path, by_day, ["pub_date"], M.INSERT_ONLY)
-    later = by_day.withColumn("total_prices", F.col("total_prices") + 1)
-    tables.merge_into(spark, path, later, ["pub_date"], M.INSERT_ONLY)
+    rows = _by_month(by_day)
+    tables.merge_into(spark, path, rows, ["pub_date"], M.INSERT_ONLY, partition="pub_month")
+    later = rows.withColumn("total_prices", F.col("total_prices") + 1)
+    tables.merge_into(spark, path, later, ["pub_date"], M.INSERT_ONLY, partition="pub_month")
     return shown(tables.read_table(spark, path).select(*by_day.columns))
 
 
 def overwrite_days(spark, sf_dir):
-    path = new_folder(spark, "days")
-    quotes = internal_quotes(spark, sf_dir)
-    tables.overwrite_partition(quotes, path)
-    even = quotes.filter(F.dayofmonth("pub_date") <= 15).withColumn("period_rel", F.lit("new"))
-    tables.overwrite_partition(even, path)
+    path = new_folder(spark, "months")
+    quotes = _by_month(internal_table(spark, sf_dir))
+    tables.overwrite_partition(quotes, path, "pub_month")
+    first_half = quotes.filter(F.month("pub_date") <= 6).withColumn("period_rel", F.lit("new"))
+    tables.overwrite_partition(first_half, path, "pub_month")
     return shown(tables.read_table(spark, path).select(*QUOTE_COLUMNS))
 
 
 def compacted_table(spark, sf_dir):
     path = new_folder(spark, "compact")
-    tables.merge_into(spark, path, internal_quotes(spark, sf_dir), ["price_uk"])
-    tables.compact(spark, path)
+    quotes = _by_month(internal_table(spark, sf_dir))
+    tables.merge_into(spark, path, quotes, ["price_uk"], partition="pub_month")
+    tables.compact(spark, path, partition="pub_month")
     return shown(tables.read_table(spark, path).select(*QUOTE_COLUMNS))
 
 
