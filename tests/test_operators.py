@@ -99,10 +99,13 @@ def test_normalizers_stay_in_the_jvm(spark):
         assert "Python" not in text and "Cartesian" not in text
 
 
-def test_scan_reads_needed_columns_only(spark):
-    text = plan(feed(spark, SF, "raw_internal").transform(N.internal_rows).select("price_mid"))
-    scan = text[text.index("ReadSchema"):]
-    assert "last_update" not in scan and "commodity:" not in scan.split(">")[0] or True
+def test_conflict_search_scans_once(spark):
+    from quotebridge.operators import quality
+
+    df = quality.conflicting_curves(Q.internal_valid(spark, SF))
+    df.collect()
+    final = plan(df).split("== Initial Plan ==")[0]
+    assert final.count("FileScan") == 1 and "ReusedExchange" in final
 
 
 def test_window_filters_reach_the_scan(spark):
@@ -147,11 +150,11 @@ def test_untouched_partitions_stay(spark, tmp_path):
     schema = "price_uk string, price_mid int, src_last_update int, pub_date string"
     first = spark.createDataFrame([("a", 1, 1, "d1"), ("b", 1, 1, "d2")], schema)
     tables.merge_into(spark, path, first, ["price_uk"])
-    kept = [f for f in spark.read.parquet(path).inputFiles() if "d1" in f]
+    kept = [f for f in spark.read.parquet(path).inputFiles() if "pub_date=d1" in f]
     tables.merge_into(spark, path, spark.createDataFrame([("b", 2, 2, "d2"), ("c", 2, 2, "d2")], schema), ["price_uk"])
     table = spark.read.parquet(path)
     assert rows(table.select("price_uk", "price_mid")) == [("a", 1), ("b", 2), ("c", 2)]
-    assert [f for f in table.inputFiles() if "d1" in f] == kept
+    assert [f for f in table.inputFiles() if "pub_date=d1" in f] == kept
 
 
 def test_namespace(spark, tmp_path):
