@@ -243,8 +243,11 @@ def assessor_periods(spark, sf_dir):
 
 
 def index_descriptions(spark, sf_dir):
-    words = A.index_words(F.col("src_price_id"))
-    return shown(feed(spark, sf_dir, "raw_indices").select(
+    words = F.col("words")
+    rows = shaping.with_computed(
+        feed(spark, sf_dir, "raw_indices"), {"words": A.index_words(F.col("src_price_id"))}
+    )
+    return shown(rows.select(
         "src_price_id",
         A.index_product(words).alias("product_name"),
         A.index_duration(words).alias("period_duration"),

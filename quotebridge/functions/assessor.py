@@ -33,7 +33,10 @@ def relative_period(timeframe: Column) -> Column:
 
 
 def index_words(price_id: Column) -> Column:
-    """Descriptive words of the last id segment, capitalised, in order."""
+    """Descriptive words of the last id segment, capitalised, in order.
+
+    Compute this once per row and hand the column to the rules below.
+    """
     segments = F.split(token(price_id, "/", -1), "-")
     kept = F.filter(segments, lambda w: w.isin(V.INDEX_ID_WORDS))
     return F.transform(kept, lambda w: F.initcap(w))
@@ -52,7 +55,7 @@ def index_product(words: Column) -> Column:
 
 
 def _mentions(words: Column, stem: str) -> Column:
-    return F.exists(words, lambda w: w.contains(stem))
+    return F.array_join(words, " ").contains(stem)
 
 
 def index_duration(words: Column) -> Column:

@@ -186,14 +186,16 @@ def exchange_rows(
         ],
         EXCHANGE_ROW,
     )
+    units = with_computed(both, {
+        "currency": X.currency(F.col("price_unit")),
+        "unit": X.unit(F.col("price_unit")),
+    })
     return to_canonical(
-        both.withColumns({
+        units.withColumns({
             "publication_name": F.lit(V.EXCHANGE_PUBLICATION),
             "data_source": F.lit(data_source),
             "commodity_type": F.lit(V.COMMODITY),
             "src_price_id": F.lit(""),
-            "currency": X.currency(F.col("price_unit")),
-            "unit": X.unit(F.col("price_unit")),
         })
     )
 
@@ -237,8 +239,11 @@ def normalize_assessments(entries: DataFrame) -> DataFrame:
 
 
 def normalize_indices(entries: DataFrame) -> DataFrame:
-    words = A.index_words(F.col("src_price_id"))
-    return clean_locations(entries).withColumns({
+    words = F.col("index_words")
+    described = with_computed(
+        clean_locations(entries), {"index_words": A.index_words(F.col("src_price_id"))}
+    )
+    return described.withColumns({
         "product_type": F.lit(V.SPOT),
         "product_name": A.index_product(words),
         "period_duration": A.index_duration(words),
@@ -246,14 +251,14 @@ def normalize_indices(entries: DataFrame) -> DataFrame:
         "price_bid": F.lit(None).cast("string"),
         "price_offer": F.lit(None).cast("string"),
         "kind": F.lit(1),
-    })
+    }).drop("index_words")
 
 
 def assessor_rows(assessments: DataFrame, indices: DataFrame, data_source: str) -> DataFrame:
     both = normalize_assessments(assessments).unionByName(
         normalize_indices(indices), allowMissingColumns=True
     )
-    typed = both.withColumns({
+    typed = with_computed(both, {
         "price_bid": parse_price(F.col("price_bid")),
         "price_mid": parse_price(F.col("price_mid")),
         "price_offer": parse_price(F.col("price_offer")),
