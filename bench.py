@@ -17,7 +17,7 @@ from checks.feeds import FEEDS, feed  # noqa: E402
 from quotebridge.session import local_session  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
-RUNS = int(os.environ.get("BENCH_RUNS", "2"))
+RUNS = int(os.environ.get("BENCH_RUNS", "1"))
 HEADLINE = [
     "internal_quotes", "exchange_quotes", "assessor_quotes", "daily_report", "reconcile",
     "merge_newer_wins", "inconsistent_detail", "duplicate_flags", "generic_standard",
