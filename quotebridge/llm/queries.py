@@ -4,15 +4,49 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quotebridge.llm import simhash
+from quotebridge.llm import classifier, decontamination, lattice, mixing, perplexity, sharding, simhash, token_scan
 from quotebridge.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_scan.token_counts(table(spark, sf_dir, "documents"))
+
+
+def op2_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perplexity.verdicts(table(spark, sf_dir, "documents"))
+
+
+def op3_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharded(table(spark, sf_dir, "documents"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op4_simhash,)}
-ORACLES: dict[str, str] = {}
+def op5_subword_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.scored(table(spark, sf_dir, "documents"))
+
+
+def op6_edit_matching(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op7_hierarchical_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.selection(table(spark, sf_dir, "documents"))
+
+
+def op8_hashed_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classifier.classified(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES: dict[str, Query] = {
+    f.__name__: f
+    for f in (
+        op1_token_counts, op2_perplexity, op3_virtual_slots, op4_simhash, op5_subword_lattice, op6_edit_matching,
+        op7_hierarchical_budget, op8_hashed_ngrams,
+    )
+}
+ORACLES: dict[str, str] = {"op7_hierarchical_budget": mixing.ORACLE_SQL}

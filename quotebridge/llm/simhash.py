@@ -110,7 +110,9 @@ def near_duplicates(docs: DataFrame, list_size: int = LIST) -> DataFrame:
     member = fps.join(labels, fps["fp"] == labels["node"]).select("fp", "label", "first")
     firsts = member.groupBy("label").agg(F.min("first").alias("least"))
     linked = member.join(firsts, "label").select("fp", "least")
-    ids = fps.join(linked, "fp", "left").select("fp", F.coalesce("least", "first").alias("component_id"))
+    ids = staged(
+        fps.join(linked, "fp", "left").select("fp", F.coalesce("least", "first").alias("component_id")), "component-ids"
+    )  # stored, so that the next join can split a fingerprint that many documents have
     return prints.join(ids, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
