@@ -4,7 +4,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quotebridge.llm import classifier, decontamination, lattice, mixing, perplexity, sharding, simhash, token_scan
+from quotebridge.llm import (
+    classifier, decontamination, lattice, line_dedup, mixing, perplexity, sharding, simhash, suffix_dedup, token_scan,
+)
 from quotebridge.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,11 +44,19 @@ def op8_hashed_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classifier.classified(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_similar_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(table(spark, sf_dir, "documents"))
+
+
+def op10_sparse_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_token_counts, op2_perplexity, op3_virtual_slots, op4_simhash, op5_subword_lattice, op6_edit_matching,
-        op7_hierarchical_budget, op8_hashed_ngrams,
+        op7_hierarchical_budget, op8_hashed_ngrams, op9_similar_lines, op10_sparse_suffixes,
     )
 }
 ORACLES: dict[str, str] = {"op7_hierarchical_budget": mixing.ORACLE_SQL}
