@@ -26,7 +26,7 @@ from quotebridge.operators.skew import flag_duplicates
 from quotebridge.plans import normalize as N
 from quotebridge.schema import PAIR_KEY, QUOTE_COLUMNS
 from quotebridge.sinks import tables
-from quotebridge.sinks.staging import new_folder
+from quotebridge.sinks.staging import new_folder, staged
 from quotebridge.sources import assessor_xml, exchange_files, landing
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -423,12 +423,12 @@ def volume_by_match(spark, sf_dir):
 
 def stage_metrics(spark, sf_dir):
     raw = feed(spark, sf_dir, "raw_internal")
-    return report.stage_metrics(
-        loaded=raw,
-        quoted_curves=N.drop_unquoted_curves(N.with_texts(raw)),
-        priced=N.internal_rows(raw),
-        stored=internal_quotes(spark, sf_dir),
-    )
+    marked = N.with_texts(raw).withColumn("quoted", N.is_quoted_curve())
+    passed = report.flag_metrics(marked, loaded=F.lit(True), quoted_curves=F.col("quoted"))
+    keyed = staged(N.internal_rows(raw), "keyed")
+    return passed.unionByName(report.stage_metrics(
+        priced=keyed, stored=N.internal_quotes(shaping.valid_quotes(keyed))
+    ))
 
 
 def latest_pub_date(spark, sf_dir):
@@ -565,7 +565,7 @@ def compacted_table(spark, sf_dir):
 
 def exported_report(spark, sf_dir):
     folder = new_folder(spark, "export")
-    tables.export_single_file(daily_report(spark, sf_dir), folder, "daily_price_report.parquet")
+    tables.export_report(daily_report(spark, sf_dir), folder, "daily_price_report.parquet")
     return spark.read.parquet(f"{folder}/daily_price_report.parquet")
 
 
@@ -595,23 +595,20 @@ def spot_files(spark, sf_dir):
 
 
 def spot_files_by_split(spark, sf_dir):
+    """The same files by the folder of all of them, recursively."""
     path = file_feeds.write_spot_files(spark, sf_dir)
-    return shown(exchange_files.read_exchange_spot(
-        spark, f"{path}/feed_file={V.SPOT_FILE_PATTERN}*", glob=None, whole_file_bytes=0
-    ))
+    return shown(exchange_files.read_exchange_spot(spark, path, glob="part-*"))
 
 
-def futures_files(spark, sf_dir):
+def futures_files_by_split(spark, sf_dir):
     path = file_feeds.write_futures_files(spark, sf_dir)
-    return shown(exchange_files.read_exchange_futures(
-        spark, f"{path}/feed_file={V.FUTURES_FILE_PATTERN}*", glob=None
-    ))
+    return shown(exchange_files.read_exchange_futures(spark, path, glob="part-*"))
 
 
-def futures_files_by_split(spark, sf_dir):
+def futures_files(spark, sf_dir):
     path = file_feeds.write_futures_files(spark, sf_dir)
     return shown(exchange_files.read_exchange_futures(
-        spark, f"{path}/feed_file={V.FUTURES_FILE_PATTERN}*", glob=None, whole_file_bytes=0
+        spark, f"{path}/feed_file={V.FUTURES_FILE_PATTERN}*", glob=None
     ))
 
 

@@ -6,19 +6,21 @@ from pyspark.sql import functions as F
 from quotebridge import fixed_values as V
 from quotebridge.schema import KEY_PARTS
 
+_NUMBER = r"^\s*[+-]?[0-9]+([.,][0-9]+)?([eE][+-]?[0-9]+)?\s*$"
+
 
 def parse_price(text: Column, decimals: int = 4) -> Column:
-    """Number written with a decimal comma or point; anything else becomes null.
+    """Number written with a decimal comma or point; anything else (NaN, Infinity, suffixes) becomes null.
 
     Half-even rounding keeps the last digit where a binary-float rounding would.
     """
-    number = F.replace(text, F.lit(","), F.lit(".")).try_cast("double")
+    number = F.when(F.regexp_like(text, F.lit(_NUMBER)), F.replace(text, F.lit(","), F.lit("."))).try_cast("double")
     return F.bround(number, decimals)
 
 
 def day_of(text: Column) -> Column:
-    """Calendar day of a date or timestamp text; null when it is neither."""
-    return text.try_cast("timestamp").cast("date")
+    """Calendar day that a date or timestamp text names, in any session zone; null when it is neither."""
+    return F.when(text.try_cast("timestamp").isNotNull(), F.substring(F.trim(text), 1, 10)).try_cast("date")
 
 
 def price_difference(left: Column, right: Column, decimals: int) -> Column:

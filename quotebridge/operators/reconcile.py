@@ -171,29 +171,30 @@ _GENERIC_PARTS = [
 ]
 
 
-def reconcile_generic(quotes: DataFrame, rule: str) -> DataFrame:
-    """Published quotes against the quotes of every other source, by attributes.
+GENERIC_RULES = ("standard", "weekend", "index")
 
-    ``standard``: equal duration, weekends left out; ``weekend``: published weekend against
-    day quotes; ``index``: index products at any duration.
-    """
-    external = quotes.filter(~is_internal(F.col("data_source")))
-    other, parts = quotes, list(_GENERIC_PARTS)
-    if rule == "standard":
-        external = external.filter(F.lower("period_duration") != "weekend")
-        parts.append("period_duration")
-    elif rule == "weekend":
-        external = external.filter(F.lower("period_duration") == "weekend")
-        other = other.filter(F.lower("period_duration") == "day")
-    elif rule == "index":
-        external = external.filter(F.lower("product_name").contains("index"))
-    else:
-        raise ValueError(f"unknown rule {rule!r}")
-    a, b = external.alias("a"), other.alias("b")
-    on = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in parts]
-    on.append(F.col("a.data_source") != F.col("b.data_source"))
+
+def _generic_rules(rules: tuple[str, ...]) -> Column:
+    """The rules under which published quote ``a`` meets quote ``b`` with equal common parts."""
+    a_duration, b_duration = F.lower("a.period_duration"), F.lower("b.period_duration")
+    accepted = {
+        "standard": (a_duration != "weekend") & (F.col("a.period_duration") == F.col("b.period_duration")),
+        "weekend": (a_duration == "weekend") & (b_duration == "day"),
+        "index": F.lower("a.product_name").contains("index"),
+    }
+    return F.array_compact(F.array(*[F.when(accepted[rule], F.lit(rule)) for rule in rules]))
+
+
+def _generic_pairs(quotes: DataFrame, rules: tuple[str, ...]) -> DataFrame:
+    """One equi-join on the common parts; a pair comes once for each rule it meets."""
+    a = quotes.filter(~is_internal(F.col("data_source"))).alias("a")
+    b = quotes.alias("b")
+    met = _generic_rules(rules)
+    on = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in _GENERIC_PARTS]
+    on += [F.col("a.data_source") != F.col("b.data_source"), F.size(met) > 0]
     own, published = F.col("b.price_mid"), F.col("a.price_mid")
     return a.join(b, on).select(
+        F.explode(met).alias("rule"),
         "a.pub_date", "a.publication_name", "a.commodity_type", "a.product_type",
         "a.product_name", "a.location_name", "a.period_duration", "a.end_date",
         own.alias("endur_price_mid"),
@@ -205,11 +206,21 @@ def reconcile_generic(quotes: DataFrame, rule: str) -> DataFrame:
         F.col("a.price_uk").alias("ext_price_uk"),
         F.col("b.price_uk").alias("endur_price_uk"),
         binary_match_class(published, own).alias("price_comparison"),
-    )
+    ).drop("rule")
+
+
+def reconcile_generic(quotes: DataFrame, rule: str) -> DataFrame:
+    """Published quotes against the quotes of every other source, by attributes.
+
+    ``standard``: equal duration, weekends left out; ``weekend``: published weekend against
+    day quotes; ``index``: index products at any duration.
+    """
+    if rule not in GENERIC_RULES:
+        raise ValueError(f"unknown rule {rule!r}")
+    return _generic_pairs(quotes, (rule,))
 
 
 def reconcile_all_generic(quotes: DataFrame) -> DataFrame:
     """The three earlier comparisons together, sorted by their first eight columns."""
-    rules = [reconcile_generic(quotes, r) for r in ("standard", "weekend", "index")]
-    union = rules[0].unionByName(rules[1]).unionByName(rules[2])
-    return union.orderBy(*union.columns[:8], "ext_price_uk", "endur_price_uk")
+    pairs = _generic_pairs(quotes, GENERIC_RULES)
+    return pairs.orderBy(*pairs.columns[:8], "ext_price_uk", "endur_price_uk")

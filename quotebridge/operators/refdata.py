@@ -2,7 +2,7 @@
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quotebridge import fixed_values as V
@@ -10,10 +10,14 @@ from quotebridge.operators.skew import salted_join
 
 
 def latest_version(definitions: DataFrame) -> DataFrame:
-    """Rows at the highest version of their curve, taken over all versions."""
-    newest = definitions.groupBy("index_id").agg(F.max("index_version_id").alias("_newest"))
+    """Rows at the highest version of their curve, taken over all versions.
+
+    A curve has few versions, so no curve is hot and one window over the curve is enough.
+    """
+    newest = F.max("index_version_id").over(Window.partitionBy("index_id"))
     return (
-        salted_join(definitions, newest, ["index_id"])
+        definitions.filter(F.col("index_id").isNotNull())
+        .withColumn("_newest", newest)
         .filter(F.col("index_version_id") == F.col("_newest"))
         .drop("_newest")
     )

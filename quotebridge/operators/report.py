@@ -58,6 +58,13 @@ def stage_metrics(**stages: DataFrame) -> DataFrame:
     return result
 
 
+def flag_metrics(df: DataFrame, **stages: Column) -> DataFrame:
+    """Rows that meet each named condition, one row per name, in one pass over ``df``."""
+    counted = df.agg(*[F.count_if(condition).alias(name) for name, condition in stages.items()])
+    rows = F.array(*[F.struct(F.lit(name).alias("stage"), F.col(name).alias("no_rows")) for name in stages])
+    return counted.select(F.inline(rows))
+
+
 def latest_pub_date(quotes: DataFrame) -> DataFrame:
     return quotes.agg(F.max("pub_date").alias("pub_date"))
 

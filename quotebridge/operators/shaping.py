@@ -49,13 +49,14 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct()
 
 
-def _complete():
+def is_complete() -> Column:
+    """Every required field of the row is present."""
     return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in REQUIRED_QUOTE_COLUMNS])
 
 
 def valid_quotes(df: DataFrame) -> DataFrame:
     """Quotes with every required field present."""
-    return df.filter(_complete())
+    return df.filter(is_complete())
 
 
 def quarantine(df: DataFrame) -> DataFrame:
@@ -63,7 +64,7 @@ def quarantine(df: DataFrame) -> DataFrame:
     missing = F.array_compact(
         F.array(*[F.when(F.col(c).isNull(), c) for c in REQUIRED_QUOTE_COLUMNS])
     )
-    return df.filter(~_complete()).withColumn("missing_fields", F.array_join(missing, ","))
+    return df.filter(~is_complete()).withColumn("missing_fields", F.array_join(missing, ","))
 
 
 def union_present(

@@ -23,6 +23,7 @@ from quotebridge.operators.shaping import (
     with_computed,
 )
 from quotebridge.schema import QUOTE
+from quotebridge.sinks.staging import staged
 
 
 def _holds(condition: Column) -> Column:
@@ -37,11 +38,13 @@ def with_texts(raw: DataFrame) -> DataFrame:
     return with_computed(raw, I.texts(F.col("publication"), F.col("index_name")))
 
 
+def is_quoted_curve() -> Column:
+    return ~I.is_unquoted_curve(F.col("curve_lower")) & ~I.is_legacy(F.col("pub_upper"))
+
+
 def drop_unquoted_curves(prepared: DataFrame) -> DataFrame:
     """Drop curves that are not quoted prices and publications marked as legacy."""
-    return prepared.filter(
-        ~I.is_unquoted_curve(F.col("curve_lower")) & ~I.is_legacy(F.col("pub_upper"))
-    )
+    return prepared.filter(is_quoted_curve())
 
 
 def internal_rows(raw: DataFrame) -> DataFrame:
@@ -87,17 +90,26 @@ def internal_rows(raw: DataFrame) -> DataFrame:
     return with_computed(quotes, {"price_uk": price_key()})
 
 
-def normalize_internal(raw: DataFrame, drop_conflicts: bool = True) -> DataFrame:
-    """Internal bronze rows to canonical quotes, unique on the price key.
+def internal_quotes(quotes: DataFrame, drop_conflicts: bool = True) -> DataFrame:
+    """Complete keyed rows to canonical quotes, unique on the price key.
 
     Conflicts are judged on the full-precision price, before it is stored in 32 bits.
     """
-    quotes = valid_quotes(internal_rows(raw))
     if drop_conflicts:
         quotes = drop_conflicting_curves(quotes)
     return to_canonical(dedupe_quotes(quotes))
 
 
+def normalize_internal(raw: DataFrame, drop_conflicts: bool = True) -> DataFrame:
+    """Internal bronze rows to canonical quotes.
+
+    The keyed rows are stored once before the conflict search, so the feed is read and its rules are
+    evaluated once.
+    """
+    quotes = valid_quotes(internal_rows(raw))
+    return internal_quotes(staged(quotes, "keyed") if drop_conflicts else quotes, drop_conflicts)
+
+
 # --- exchange ------------------------------------------------------------------------------
 
 def _exchange_dates() -> dict[str, Column]:
@@ -110,10 +122,11 @@ def _exchange_dates() -> dict[str, Column]:
 
 
 def normalize_spot(lines: DataFrame) -> DataFrame:
-    """Priced spot lines in exchange columns."""
+    """Priced spot lines in exchange columns; a text that is no number is no price."""
     rel = X.spot_period_rel(F.col("product_name"))
     return (
-        lines.filter(F.col("price_mid").isNotNull())
+        with_computed(lines, {"price": parse_price(F.col("price_mid"))})
+        .filter(F.col("price").isNotNull())
         .withColumns(_exchange_dates())
         .select(
             F.lit(V.SPOT).alias("product_type"),
@@ -125,7 +138,7 @@ def normalize_spot(lines: DataFrame) -> DataFrame:
             "pub_date",
             "start_date",
             X.last_delivery_day(F.col("end_date")).alias("end_date"),
-            parse_price(F.col("price_mid")).alias("price_mid"),
+            F.col("price").alias("price_mid"),
             "price_unit",
             "src_last_update",
         )
@@ -136,7 +149,8 @@ def normalize_futures(lines: DataFrame) -> DataFrame:
     """Complete, in-scope settlement lines in exchange columns."""
     product = F.col("product_name")
     return (
-        lines.na.drop("any")
+        with_computed(lines.na.drop("any"), {"price": parse_price(F.col("price_mid"))})
+        .filter(F.col("price").isNotNull())
         .filter(F.col("idx_code") == V.FUTURES_CODE)
         .filter(~F.lower(product).contains(V.FUTURES_OUT_OF_SCOPE))
         .filter(~product.startswith(V.FUTURES_REPEAT_PREFIX))
@@ -151,13 +165,23 @@ def normalize_futures(lines: DataFrame) -> DataFrame:
             "pub_date",
             "start_date",
             "end_date",
-            parse_price(F.col("price_mid")).alias("price_mid"),
+            F.col("price").alias("price_mid"),
             "price_unit",
             "src_last_update",
         )
     )
 
 
+def unreadable_lines(lines: DataFrame) -> DataFrame:
+    """Exchange lines that hold a price text which is no number, or lack a product or its dates."""
+    priced = F.trim(F.coalesce("price_mid", F.lit(""))) != ""
+    broken = F.col("product_name").isNull() | F.col("start_date").isNull() | F.col("end_date").isNull()
+    reason = F.when(priced & parse_price(F.col("price_mid")).isNull(), "price").when(broken, "line")
+    return lines.withColumn("missing_fields", reason).filter(F.col("missing_fields").isNotNull()).select(
+        "product_name", "location_name", "pub_date", "price_mid", "missing_fields"
+    )
+
+
 EXCHANGE_ROW = T.StructType([
     T.StructField("product_type", T.StringType()),
     T.StructField("product_name", T.StringType()),
@@ -272,13 +296,17 @@ def assessor_rows(assessments: DataFrame, indices: DataFrame, data_source: str)
     return with_computed(drop_rolled_bom(typed), {"price_uk": price_key()})
 
 
+def assessor_quotes(quotes: DataFrame) -> DataFrame:
+    """Complete keyed rows to canonical quotes, one per key."""
+    return to_canonical(dedupe_quotes(quotes, order=[F.col("kind").asc(), *newest_first()]))
+
+
 def normalize_assessor(assessments: DataFrame, indices: DataFrame, data_source: str) -> DataFrame:
     """Assessor entries to canonical quotes.
 
     One quote per key: assessments before indices, then newest, then smallest source id.
     """
-    quotes = valid_quotes(assessor_rows(assessments, indices, data_source))
-    return to_canonical(dedupe_quotes(quotes, order=[F.col("kind").asc(), *newest_first()]))
+    return assessor_quotes(valid_quotes(assessor_rows(assessments, indices, data_source)))
 
 
 def empty_quotes(spark: SparkSession) -> DataFrame:

@@ -1,4 +1,7 @@
-"""Schemas of the three layers and the column lists derived from them."""
+"""Schemas of the three layers and the column lists derived from them.
+
+Column names and order are the required output of the tables.
+"""
 
 from pyspark.sql import types as T
 
@@ -54,7 +57,11 @@ COMPARISON_COLUMNS = [
 ]
 PAIR_KEY = ["endur_price_uk", "ext_price_uk"]
 
-REPORT_COLUMNS = [
-    "comparison_date", "no_prices_compared", "no_price_matches",
-    "no_price_matches_with_rounding_diff", "no_price_mismatches",
-]
+# The report's day is a text, as in the exported file; a declared schema keeps it one.
+REPORT = T.StructType([
+    T.StructField("no_prices_compared", T.LongType()),
+    T.StructField("no_price_matches", T.LongType()),
+    T.StructField("no_price_matches_with_rounding_diff", T.LongType()),
+    T.StructField("no_price_mismatches", T.LongType()),
+    T.StructField("comparison_date", T.StringType()),
+])

@@ -14,8 +14,9 @@ from collections.abc import Sequence
 from datetime import date
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quotebridge.operators.merge import (
     INSERT_ONLY,
@@ -30,13 +31,15 @@ PARTITION = "pub_date"
 _ABSENT = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """A stored table. With a declared schema partition values keep its types; a day text is not read as a date."""
+    return (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
 
 
-def read_table_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+def read_table_or_none(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
     try:
-        return read_table(spark, path)
+        read_table(spark, path)  # an absent table has no schema to infer
+        return read_table(spark, path, schema)
     except AnalysisException as error:
         if error.getCondition() in _ABSENT:
             return None
@@ -49,6 +52,16 @@ def ensure_namespace(spark: SparkSession, name: str, location: str) -> DataFrame
     return spark.sql(f"DESCRIBE DATABASE `{name}`")
 
 
+def register(spark: SparkSession, name: str, path: str) -> None:
+    """Give a stored table a catalog name; an absent one is left out."""
+    if read_table_or_none(spark, path) is None:
+        return
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.catalog.createTable(name, path, source="parquet")
+    if any(c.isPartition for c in spark.catalog.listColumns(name)):
+        spark.sql(f"MSCK REPAIR TABLE {name}")
+
+
 def _write(df: DataFrame, path: str, partition: str, mode: str) -> None:
     (
         df.hint("rebalance", partition)
@@ -67,11 +80,10 @@ def overwrite_partition(df: DataFrame, path: str, partition: str = PARTITION) ->
 def touched_partitions(target: DataFrame, source: DataFrame, partition: str) -> DataFrame:
     """Target rows in the partitions of the source.
 
-    The broadcast side is the distinct values of a calendar-day partition column, so it is
-    bounded by the calendar, not by the data. It also prunes the target scan at run time.
+    The distinct values of the partition column are few; when their measured size is small Spark broadcasts
+    them and prunes the target scan at run time.
     """
-    days = source.select(partition).distinct()
-    return target.join(F.broadcast(days), partition, "left_semi")
+    return target.join(source.select(partition).distinct(), partition, "left_semi")
 
 
 def merge_into(
@@ -82,14 +94,21 @@ def merge_into(
     mode: str = NEWER_WINS,
     order_col: str = "src_last_update",
     partition: str = PARTITION,
+    key_partition: Column | None = None,
+    schema: T.StructType | None = None,
 ) -> None:
     """Upsert ``source`` into the table at ``path``; the first load creates the table.
 
-    A row never moves between partitions: the partition column is part of the key, or is
-    determined by it. Only partitions that occur in the source are read and rewritten; an
-    insert-only merge just appends.
+    A row never moves between partitions: the partition column is part of the key, or is determined by it.
+    ``key_partition`` gives the partition value as an expression over the key; the job fails at the first row
+    that leaves its partition. Only partitions that occur in the source are read and rewritten; an insert-only
+    merge just appends.
     """
-    target = read_table_or_none(spark, path)
+    if key_partition is not None:
+        wrong = ~F.coalesce(key_partition.eqNullSafe(F.col(partition)), F.lit(False))
+        message = F.concat(F.lit("a key leaves its partition: "), F.concat_ws(" | ", *[F.col(k).cast("string") for k in keys]))
+        source = source.filter(F.when(wrong, F.raise_error(message).cast("boolean")).otherwise(True))
+    target = read_table_or_none(spark, path, schema)
     if target is None:
         _write(partition_last(require_unique(source, keys), partition), path, partition, "append")
         return
@@ -103,11 +122,28 @@ def merge_into(
     overwrite_partition(merged, path, partition)
 
 
-def append_history(df: DataFrame, path: str, version: int) -> None:
-    """Append the changes of one run under their version number."""
-    df.withColumn("version", F.lit(version)).hint("rebalance").write.mode("append").partitionBy(
-        "version"
-    ).parquet(path)
+def write_history(changes: DataFrame, path: str, version: int) -> None:
+    """Store the changed rows of one run under their version number; a version is written once.
+
+    Running the same version again replaces it.
+    """
+    numbered = changes.withColumn("version", F.lit(version))
+    (
+        numbered.hint("rebalance").write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").partitionBy("version").parquet(path)
+    )
+
+
+def small_file_partitions(
+    spark: SparkSession, path: str, partition: str = PARTITION, file_bytes: int = 128 * 1024 * 1024
+) -> DataFrame:
+    """Partitions with more files than their bytes need: (partition, files, bytes). Reads no row."""
+    files = read_table(spark, path).select(
+        partition, F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("size")
+    ).dropDuplicates([partition, "f"])
+    return files.groupBy(partition).agg(F.count("*").alias("files"), F.sum("size").alias("bytes")).filter(
+        F.col("files") > F.ceil(F.col("bytes") / file_bytes)
+    )
 
 
 def compact(
@@ -117,16 +153,18 @@ def compact(
     partition: str = PARTITION,
     sort_by: Sequence[str] = ("location_name", "price_uk"),
 ) -> None:
-    """Rewrite partitions as few, clustered files.
+    """Rewrite partitions as few, clustered files: those given, else those that have too many files.
 
-    Range partitioning on day and sort columns lets one large day span several tasks, each
-    with a disjoint range of the clustering columns.
+    The rebalance lets adaptive execution choose the number of tasks by size: a large day becomes several sorted
+    files, small days share a task.
     """
     table = read_table(spark, path)
     if days is not None:
         table = table.filter(F.col(partition).isin(list(days)))
+    else:
+        table = table.join(small_file_partitions(spark, path, partition).select(partition), partition, "left_semi")
     (
-        table.repartitionByRange(partition, *sort_by)
+        partition_last(table, partition).hint("rebalance", partition)
         .sortWithinPartitions(partition, *sort_by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -140,14 +178,14 @@ def export_files(df: DataFrame, path: str) -> None:
     df.hint("rebalance").write.mode("overwrite").parquet(path)
 
 
-def export_single_file(df: DataFrame, folder: str, name: str, max_rows: int = 1_000_000) -> None:
-    """Export a small report as one parquet file with a fixed name.
+def export_report(df: DataFrame, folder: str, name: str) -> None:
+    """Export the daily report as one parquet file with a fixed name.
 
-    Refuses anything above ``max_rows``: one file is one task, so it is for results that are
-    small by nature (one row per day). Use ``export_files`` for the rest.
+    The report has one row per day by its key, so one file is one small task; everything else goes through
+    ``export_files``.
     """
-    if df.limit(max_rows + 1).count() > max_rows:
-        raise ValueError(f"more than {max_rows} rows do not belong in a single file")
+    if "comparison_date" not in df.columns:
+        raise ValueError("only the daily report is exported as a single file")
     spark = df.sparkSession
     scratch = f"{folder.rstrip('/')}/_export-{uuid.uuid4().hex}"
     df.coalesce(1).write.mode("overwrite").parquet(scratch)

@@ -1,4 +1,4 @@
-"""Small supplier files written to a fresh folder, read by both reader routes."""
+"""Small supplier files written to a fresh folder, read by the file readers."""
 
 from datetime import date, datetime
 
@@ -68,9 +68,32 @@ def folder(tmp_path):
     return str(tmp_path)
 
 
-@pytest.mark.parametrize("whole_file_bytes", [0, 1 << 20])
-def test_spot_file(spark, folder, whole_file_bytes):
-    df = exchange_files.read_exchange_spot(spark, folder, whole_file_bytes=whole_file_bytes)
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\r"])
+def test_line_ends(spark, tmp_path, end):
+    (tmp_path / "GasSpotMarketResults_TTF_1.csv").write_bytes(SPOT.replace("\n", end).encode())
+    (tmp_path / "GasFutureMarketResults_TTF_1.csv").write_bytes(FUTURES.replace("\n", end).encode())
+    assert exchange_files.read_exchange_spot(spark, str(tmp_path)).count() == 3
+    assert exchange_files.read_exchange_futures(spark, str(tmp_path)).count() == 5
+
+
+def test_small_splits_surplus_columns_and_missing_header(spark, tmp_path):
+    (tmp_path / "GasSpotMarketResults_A_1.csv").write_text(SPOT + "SP;PEG;x;2021-10-27;2021-10-28;1;EUR/MWh;more;and more\n")
+    (tmp_path / "GasSpotMarketResults_B_1.csv").write_text("# no result line\nXX;1\n")
+    (tmp_path / "GasFutureMarketResults_A_1.csv").write_text(FUTURES)
+    (tmp_path / "GasFutureMarketResults_B_1.csv").write_text("# one\n# two\n")
+    (tmp_path / "other.csv").write_text(SPOT)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "400b")
+    try:
+        spot = exchange_files.read_exchange_spot(spark, str(tmp_path)).collect()
+        assert sorted(r.location_name for r in spot) == ["NBP", "PEG", "TTF", "TTF"]
+        assert {r.pub_date for r in spot} == {"2021-10-26"}
+        assert exchange_files.read_exchange_futures(spark, str(tmp_path)).count() == 5
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_spot_file(spark, folder):
+    df = exchange_files.read_exchange_spot(spark, folder)
     rows = sorted(df.collect(), key=lambda r: r.product_name)
     assert [(r.idx_code, r.product_name, r.price_mid, r.price_unit.strip()) for r in rows] == [
         ("IL", "EGSI WEEKEND", "84,12345", "EUR/MWh"), ("SP", "NBP WEEKEND", None, "GBP/thm"),
@@ -79,9 +102,8 @@ def test_spot_file(spark, folder, whole_file_bytes):
     assert {(r.pub_date, r.src_last_update) for r in rows} == {("2021-10-26", "2021-10-26T18:05:00Z")}
 
 
-@pytest.mark.parametrize("whole_file_bytes", [0, 1 << 20])
-def test_futures_file(spark, folder, whole_file_bytes):
-    df = exchange_files.read_exchange_futures(spark, folder, whole_file_bytes=whole_file_bytes)
+def test_futures_file(spark, folder):
+    df = exchange_files.read_exchange_futures(spark, folder)
     assert df.count() == 5
     kept = N.normalize_futures(df).collect()
     assert len(kept) == 1
@@ -126,3 +148,40 @@ def test_jdbc_options():
         "url": "u", "dbtable": "(SELECT d) q", "partitionColumn": "d", "lowerBound": "2021-01-01",
         "upperBound": "2021-12-31", "numPartitions": "12",
     }
+
+
+def test_numbers_days_and_bad_prices(spark):
+    from pyspark.sql import functions as F
+
+    from quotebridge.functions.prices import day_of, parse_price
+
+    texts = ["85,5", "NaN", "Infinity", "85d", "n/a", "", None, "-1.5", "+2", "2.00005", "2.00015", "1e2", " 3 ", "1.2.3"]
+    got = [r.p for r in spark.createDataFrame([(t,) for t in texts], "t string").select(parse_price(F.col("t")).alias("p")).collect()]
+    assert got == [85.5, None, None, None, None, None, None, -1.5, 2.0, 2.0, 2.0002, 100.0, 3.0, None]
+    days = ["2021-10-26T02:00:00Z", "2021-10-26", "2021-10-26 23:59:59", "x", None, "2021-13-01"]
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        found = [str(r.d) for r in spark.createDataFrame([(d,) for d in days], "d string").select(day_of(F.col("d")).alias("d")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert found == ["2021-10-26"] * 3 + ["None"] * 3
+
+
+def test_unreadable_spot_prices(spark, tmp_path):
+    bad = SPOT + "SP;PEG;PEG DAY AHEAD;2021-10-27;2021-10-28;NaN;EUR/MWh\nSP;PEG\n"
+    (tmp_path / "GasSpotMarketResults_TTF_1.csv").write_text(bad)
+    lines = exchange_files.read_exchange_spot(spark, str(tmp_path))
+    assert sorted(r.price_mid for r in N.normalize_spot(lines).collect()) == [84.1234, 85.5]
+    assert sorted(r.missing_fields for r in N.unreadable_lines(lines).collect()) == ["line", "price"]
+
+
+@pytest.mark.parametrize(("xml", "text"), [
+    ("<a>x &amp; y</a>", "x & y"), ("<a><![CDATA[x < &amp; y]]></a>", "x < &amp; y"), ("<a>caf&#233; &#x26; &#8364;</a>", "café & €"),
+    ("<a>before<b>nested</b></a>", "before"), ("<a></a><a>later</a>", None), ("<a/><a>later</a>", None), ('<a n="1">x</a>', "x"),
+    ("<ab>x</ab>", None), ("<a>1 &# 2</a>", "1 &# 2"),
+])
+def test_tag_text(spark, xml, text):
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([(xml,)], "x string")
+    assert df.select(assessor_xml.tag_text(F.col("x"), "a").alias("t")).first().t == text

@@ -12,6 +12,7 @@ from quotebridge.operators.dedupe import dedupe_quotes
 from quotebridge.operators.skew import flag_duplicates, salted_join
 from quotebridge.plans import jobs
 from quotebridge.plans import normalize as N
+from quotebridge.schema import REPORT
 from quotebridge.sinks import tables
 
 SF = "/root/testdata/sf0.001"
@@ -162,9 +163,80 @@ def test_namespace(spark, tmp_path):
     assert any("quotes_check" in str(r) for r in description.collect())
 
 
-def test_single_file_export_refuses_large_results(spark, tmp_path):
+def test_only_the_report_is_one_file(spark, tmp_path):
     with pytest.raises(ValueError, match="single file"):
-        tables.export_single_file(spark.range(10), str(tmp_path), "x.parquet", max_rows=5)
+        tables.export_report(spark.range(10), str(tmp_path), "x.parquet")
+
+
+def test_large_day_becomes_several_sorted_files(spark, tmp_path):
+    path = str(tmp_path / "t")
+    text = F.sha2(F.col("id").cast("string"), 512)
+    df = spark.range(0, 60000, 1, 7).select(
+        text.alias("price_uk"), F.concat(F.lit("L"), F.col("id") % 5).alias("location_name"), F.lit("1998-01-01").cast("date").alias("pub_date")
+    )
+    df.write.partitionBy("pub_date").parquet(path)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2m")
+    try:
+        tables.compact(spark, path, [date(1998, 1, 1)])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = spark.read.parquet(path).inputFiles()
+    assert 1 < len(files) < 7
+    for file in files:
+        found = [(r.location_name, r.price_uk) for r in spark.read.parquet(file).collect()]
+        assert found == sorted(found)
+
+
+def test_only_partitions_with_small_files_are_listed(spark, tmp_path):
+    path = str(tmp_path / "t")
+    days = F.when(F.col("id") % 2 == 0, "1998-01-01").otherwise("1998-01-02")
+    spark.range(0, 50, 1, 5).select("id", days.alias("pub_date")).filter("pub_date = '1998-01-01' OR id = 7").write.partitionBy("pub_date").parquet(path)
+    found = tables.small_file_partitions(spark, path).collect()
+    assert [(str(r.pub_date), r.files) for r in found] == [("1998-01-01", 5)]
+
+
+def test_merge_raises_when_a_key_leaves_its_partition(spark, tmp_path):
+    path = str(tmp_path / "t")
+    schema = "price_uk string, price_mid int, src_last_update int, pub_date string"
+    day = F.substring("price_uk", 1, 2)
+    tables.merge_into(spark, path, spark.createDataFrame([("d1/a", 1, 1, "d1")], schema), ["price_uk"], key_partition=day)
+    with pytest.raises(Exception, match="leaves its partition"):
+        tables.merge_into(spark, path, spark.createDataFrame([("d1/a", 1, 2, "d2")], schema), ["price_uk"], key_partition=day)
+    assert rows(spark.read.parquet(path).select("price_uk", "price_mid")) == [("d1/a", 1)]
+
+
+def test_jobs_refuse_another_session_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        with pytest.raises(ValueError, match="UTC"):
+            jobs.require_utc(spark)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_older_comparison_is_one_join(spark):
+    text = plan(reconcile.reconcile_all_generic(Q.every_quote(spark, SF)))
+    assert text.split("== Initial Plan ==")[0].count("SortMergeJoin") + text.split("== Initial Plan ==")[0].count("HashJoin") == 1
+
+
+def test_extract_internal(spark, tmp_path):
+    T1 = "id_number int, name string"
+    relations = {
+        "definitions": spark.createDataFrame(
+            [(1, 1, 1, "NG_PNX_A", 7, 3, 5), (1, 2, 1, "NG_PNX_A", 7, 3, 5), (2, 1, 0, "NG_PNX_B", 7, 3, 5)],
+            "index_id int, index_version_id int, db_status int, index_name string, currency int, unit int, delivery_type int",
+        ),
+        "currencies": spark.createDataFrame([(7, "EUR")], T1),
+        "units": spark.createDataFrame([(3, "MWh")], "unit_id int, unit_label string"),
+        "prices": spark.createDataFrame(
+            [(1, 9, date(2021, 10, d), date(2021, 10, d + 1), 80.0 + d, datetime(2021, 10, d, 17)) for d in (1, 2, 20)],
+            "index_id int, ref_source int, reset_date date, start_date date, price double, last_update timestamp",
+        ),
+        "sources": spark.createDataFrame([(9, "PNX EOD")], T1),
+        "delivery_types": spark.createDataFrame([(5, "NatGas")], T1),
+    }
+    counts = jobs.extract_internal(relations, str(tmp_path), date(2021, 10, 3), "internal", date(2021, 10, 1), date(2021, 10, 9))
+    assert rows(counts) == [("loaded", 2)]
 
 
 def test_ingestion_timestamp_and_column_order(spark):
@@ -194,9 +266,14 @@ def test_jobs_end_to_end(spark, tmp_path):
     extra.write.mode("append").parquet(landed)
     counts = []
     for run, hour in enumerate((6, 8)):
-        jobs.load_internal(spark, landed, warehouse)
-        jobs.load_exchange(spark, published, warehouse, "EEX")
-        jobs.load_assessor(spark, published, warehouse, "ICIS ESGM")
+        loads = [
+            jobs.load_internal(spark, landed, warehouse), jobs.load_exchange(spark, published, warehouse, "EEX"),
+            jobs.load_assessor(spark, published, warehouse, "ICIS ESGM"),
+        ]
+        for load in loads:
+            n = {r.stage: r.no_rows for r in load.collect()}
+            assert n["loaded"] == n["ruled_out"] + n["quarantined"] + n["duplicates"] + n["stored"]
+            assert n["stored"] > 0 and min(n.values()) >= 0
         compared = jobs.compare(spark, warehouse, datetime(2021, 10, 27, hour), version=run)
         jobs.report_day(spark, warehouse, compared)
         counts.append([tables.read_table(spark, p).count() for p in (
@@ -208,5 +285,11 @@ def test_jobs_end_to_end(spark, tmp_path):
     jobs.compact_all(spark, warehouse)
     jobs.create_views(spark, warehouse)
     assert spark.sql("SELECT count(*) AS n FROM tprices").first().n == 1
+    assert report[0].comparison_date == "2021-10-27"
+    assert dict(tables.read_table(spark, warehouse.report, REPORT).dtypes)["comparison_date"] == "string"
     history = tables.read_table(spark, warehouse.history)
+    assert [(r.version, r["count"]) for r in history.groupBy("version").count().collect()] == [(0, 1)]
+    jobs.register_tables(spark, warehouse, "checked_processed", "checked_exposed")
+    stored = spark.sql("SELECT count(*) AS n FROM checked_processed.exchange_prices").first().n
+    assert stored == 3 and spark.table("checked_exposed.compared_prices").count() == 1
     assert merge.as_of(history, ["endur_price_uk", "ext_price_uk"], 0).count() == 1
