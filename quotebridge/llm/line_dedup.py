@@ -5,27 +5,31 @@ one, kept or not, has a Jaccard similarity of at least 0.8 with it; the first li
 word always stay.
 
 Equal sets are one class, with the first line as its representative; only classes are joined. Words are ordered by rarity
-(counted over all lines into 2^16 cells, so the order has a fixed size). Two similar sets share one of their first
-n - ceil(0.8 n) + 1 words in that order (prefix filter); the sizes and the place of that word bound the overlap (length and
-positional filter), and so does a 64-bit parity of the words. In the posting list of a word each class meets the
-``LIST`` classes before it, of which the most alike is verified first and the others only if that one fails; classes
-with longer lists that still have no match go round again among themselves, and what then is left is joined with
-all postings. So no list is paired out, and no match is lost.
+(counted over all lines into 2^20 cells of one byte each, so the order has a fixed size, and only how rare is approximate).
+Two similar sets share one of their first n - ceil(0.8 n) + 1 words in that order (prefix filter); the sizes and the place of
+that word bound the overlap (length and positional filter), and so does a 64-bit parity of the words. Posting lists of
+up to ``LIST`` classes are joined with themselves. In longer ones each class meets the ``NEAR`` classes before it; those
+that find no match go round again among themselves, and what then is left is joined with all of those lists. So no long
+list is paired out, and no match is lost. Of the possible partners of a class the most alike is verified first, the others
+only if that one fails.
 
-DataFrame functions only. A word is represented by 63 bits of its hash and a class by 64, here and in verifying.
+DataFrame functions only. Words are compared as they are; a class is known by 64 bits of the hash of its words.
 
 Defined results: null text is one line without words; null doc_ids come last in the order; repeated rows share their fate; an
 empty table gives no rows; similarity is exact at 0.8; only doc_id and text are read.
 """
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quotebridge.llm.common import BLANKS, fold, small_side, staged
+from quotebridge.llm.common import small_side, staged
 
-CELLS = 1 << 16
-LIST = 32
+CELLS = 1 << 20
+LIST, NEAR = 128, 32
 LAST = (1 << 63) - 1
+LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ\t\v\f\r"
+FOLDED = "abcdefghijklmnopqrstuvwxyz    "
 PLACE = ["d", "l", "t"]
 #: Order of the classes: by their first line, which two classes share only if a doc_id is repeated.
 ORDER = ["d", "l", "h"]
@@ -40,55 +44,53 @@ def rows_of(docs: DataFrame) -> DataFrame:
 
 
 def words_of(text: Column) -> Column:
-    return F.filter(F.split(fold(text), BLANKS), lambda w: w != "")
+    """Words of a folded text in which spaces and line feeds are the only blanks."""
+    return F.array_remove(F.split(text, " "), "")
 
 
-def cell(hashed: Column) -> Column:
-    return F.shiftrightunsigned(hashed, 48).cast("int")
+def cell(word: Column) -> Column:
+    return F.xxhash64(word).bitwiseAND(F.lit(CELLS - 1)).cast("int")
 
 
 def rarity(rows: DataFrame) -> Column:
-    """Array of the ranks of all cells, the rarest first; as many as there are cells."""
-    counted = rows.select(F.explode(words_of(F.col("text"))).alias("w")).groupBy(cell(F.xxhash64("w")).alias("cell")).count()
-    counts = [0] * CELLS
-    for row in counted.collect():
-        counts[row["cell"]] = row["count"]
-    ranks = [0] * CELLS
-    for rank, at in enumerate(sorted(range(CELLS), key=lambda c: (counts[c], c))):
-        ranks[at] = rank
-    return F.split(F.lit(",".join(map(str, ranks))), ",").cast("array<bigint>")
+    """One byte per cell, from 1 (rarest) to 127: six steps for each doubling of the words in the cell."""
+    text = F.translate("text", LETTERS + "\n", FOLDED + " ")
+    counted = rows.select(F.explode(words_of(text)).alias("w")).groupBy(cell(F.col("w")).alias("cell")).count()
+    level = F.least(F.lit(127), F.floor(F.log2(F.col("count") + 1) * 6)).cast("int")
+    found = counted.select("cell", level.alias("level")).toArrow()
+    levels = np.ones(CELLS, np.uint8)
+    levels[found["cell"].to_numpy()] = found["level"].to_numpy()
+    return F.lit(levels.tobytes())
 
 
-def with_keys(lines: DataFrame, ranks: Column) -> DataFrame:
-    """Adds ``keys``: the distinct words of ``line`` as numbers, the rarest first."""
-    hashed = lines.withColumn("hashes", F.array_distinct(F.transform(words_of(F.col("line")), lambda w: F.xxhash64(w))))
+def with_keys(lines: DataFrame, levels: Column) -> DataFrame:
+    """Adds ``keys``: the distinct words of ``line`` after a letter for their rarity, in that order."""
 
-    def key(h: Column) -> Column:
-        rank = F.element_at(ranks, cell(h) + 1)
-        return F.shiftleft(rank, 47).bitwiseOR(h.bitwiseAND(F.lit((1 << 47) - 1)))
+    def key(word: Column) -> Column:
+        return F.concat(F.substring(levels, cell(word) + 1, 1).cast("string"), word)
 
-    return hashed.withColumn("keys", F.sort_array(F.transform("hashes", key))).drop("hashes", "line")
+    words = F.array_distinct(words_of(F.translate("line", LETTERS, FOLDED)))
+    return lines.withColumn("keys", F.sort_array(F.transform(words, key))).drop("line")
 
 
 def lines_of(rows: DataFrame) -> DataFrame:
     return rows.select("d", "t", F.posexplode(F.split("text", "\n")).alias("l", "line"))
 
 
-def classes(rows: DataFrame, ranks: Column) -> DataFrame:
-    """One row per distinct set: h, d, t, l (its first line), n, sig (parity of its words), prefix, times."""
-    lines = with_keys(lines_of(rows), ranks).where(F.size("keys") > 0)
-    n = F.size("keys")
+def classes(rows: DataFrame, levels: Column) -> DataFrame:
+    """One row per distinct set: h, d, l, t (its first line), n, sig (parity of its words), prefix, times."""
     bit = F.aggregate(
         "keys", F.lit(0).cast("long"),
-        lambda acc, k: acc.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), k.bitwiseAND(F.lit(63)).cast("int"))),
+        lambda acc, k: acc.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.hash(k).bitwiseAND(F.lit(63)))),
     )
-    prefix = F.transform(F.slice("keys", 1, F.expr("size(keys) - (4 * size(keys) + 4) div 5 + 1").cast("int")), lambda k: F.hash(k))
-    described = lines.select(
-        *PLACE, F.xxhash64("keys").alias("h"), n.alias("n"), bit.alias("sig"), prefix.alias("prefix")
+    first = F.slice("keys", 1, F.expr("size(keys) - (4 * size(keys) + 4) div 5 + 1").cast("int"))
+    described = with_keys(lines_of(rows), levels).select(
+        *PLACE, F.xxhash64("keys").alias("h"), F.size("keys").alias("n"), bit.alias("sig"),
+        F.transform(first, lambda k: F.hash(k)).alias("prefix"),
     )
     place = F.struct(*PLACE)
     found = described.groupBy("h").agg(F.min(F.struct(place.alias("place"), "n", "sig", "prefix")).alias("first"), F.count("*").alias("times"))
-    return found.select("h", "first.place.*", "first.n", "first.sig", "first.prefix", "times")
+    return found.select("h", "first.place.*", "first.n", "first.sig", "first.prefix", "times").where("n > 0")
 
 
 def possible(a: dict[str, Column], b: dict[str, Column]) -> Column:
@@ -134,15 +136,15 @@ def directed(pairs: DataFrame, places: DataFrame) -> DataFrame:
 class Verifier:
     """Exact similarity of pairs of classes, from the lines that represent them."""
 
-    def __init__(self, rows: DataFrame, ranks: Column, sets: DataFrame):
-        self.rows, self.ranks, self.sets = rows, ranks, sets
+    def __init__(self, rows: DataFrame, levels: Column, sets: DataFrame):
+        self.rows, self.levels, self.sets = rows, levels, sets
 
     def keys_of(self, ids: DataFrame) -> DataFrame:
         """(h, keys) of the classes in ``ids``."""
         wanted = small_side(staged(self.sets.join(ids, "h", "left_semi").select("h", *PLACE), "wanted-lines"))
         documents = self.rows.join(wanted.select("d", "t"), ["d", "t"], "left_semi")
         lines = lines_of(documents).join(wanted, PLACE)
-        return staged(with_keys(lines.dropDuplicates(["h"]), self.ranks).select("h", "keys"), "sets")
+        return staged(with_keys(lines.dropDuplicates(["h"]), self.levels).select("h", "keys"), "sets")
 
     def similar(self, pairs: DataFrame) -> DataFrame:
         """The distinct x of the stored pairs (x, y) that are similar."""
@@ -166,9 +168,9 @@ class Verifier:
         return found.unionAll(self.similar(others))
 
 
-def removed_classes(rows: DataFrame, ranks: Column, sets: DataFrame, width: int = LIST) -> DataFrame:
+def removed_classes(rows: DataFrame, levels: Column, sets: DataFrame, size: int = LIST, width: int = NEAR) -> DataFrame:
     """(h) of the classes that resemble a class with an earlier first line."""
-    verifier = Verifier(rows, ranks, sets)
+    verifier = Verifier(rows, levels, sets)
     places = sets.select(*ORDER)
 
     def settled(pairs: DataFrame) -> DataFrame:
@@ -180,9 +182,18 @@ def removed_classes(rows: DataFrame, ranks: Column, sets: DataFrame, width: int
         near = seen.select(F.col("h").alias("a"), F.explode("near").alias("one"))
         return near.select("a", F.col("one.other").alias("b"), "one.apart")
 
-    seen = staged(neighbours(postings(sets), width), "neighbours")
-    gone = settled(listed(seen))
-    left = staged(seen.where("more").select("h", "key").join(gone, "h", "left_anti"), "open")
+    sizes = postings(sets).groupBy("key").agg(F.count("*").alias("size"))
+    long_lists = small_side(staged(sizes.where(F.col("size") > size).select("key"), "long-lists"))
+    short = postings(sets).select("key", "h", "n", "pos", "sig").join(long_lists, "key", "left_anti")
+    mine, theirs = ({c: F.col(f"{side}.{c}") for c in ("n", "pos", "sig")} for side in "ab")
+    pairs = short.alias("a").join(
+        short.alias("b"), (F.col("a.key") == F.col("b.key")) & (F.col("a.h") > F.col("b.h")) & possible(mine, theirs)
+    ).select(F.col("a.h").alias("a"), F.col("b.h").alias("b"), F.bit_count(F.col("a.sig").bitwiseXOR(F.col("b.sig"))).alias("apart"))
+    gone = settled(pairs)
+    crowded = staged(postings(sets).join(long_lists, "key", "left_semi").join(gone, "h", "left_anti"), "crowded-open")
+    seen = staged(neighbours(crowded, width), "neighbours")
+    gone = gone.unionAll(settled(listed(seen)))
+    left = staged(crowded.select("h", "key").join(gone, "h", "left_anti"), "open")
     while not left.isEmpty():
         new = settled(listed(neighbours(postings(sets).join(left, ["h", "key"], "left_semi"), width)))
         gone = gone.unionAll(new)
@@ -201,33 +212,35 @@ def removed_classes(rows: DataFrame, ranks: Column, sets: DataFrame, width: int
     return gone.unionAll(settled(rest)).distinct()
 
 
-def kept_lines(docs: DataFrame, width: int = LIST) -> DataFrame:
+def kept_lines(docs: DataFrame, size: int = LIST, width: int = NEAR) -> DataFrame:
     """(d, t, kept: numbers of the lines with words that stay) of the documents that keep any, stored."""
     rows = rows_of(docs)
-    ranks = rarity(rows)
-    sets = staged(classes(rows, ranks), "line-classes")
-    gone = removed_classes(rows, ranks, sets, width)
+    levels = rarity(rows)
+    sets = staged(classes(rows, levels), "line-classes")
+    gone = removed_classes(rows, levels, sets, size, width)
     stay = sets.join(gone, "h", "left_anti").groupBy("d", "t").agg(F.collect_list("l").alias("kept"))
     return staged(stay, "kept-lines")
 
 
-def deduplicated(docs: DataFrame, width: int = LIST) -> DataFrame:
+def deduplicated(docs: DataFrame, size: int = LIST, width: int = NEAR) -> DataFrame:
     """(doc_id, n_lines, n_removed, text: the lines that stay) of every document."""
-    kept = small_side(kept_lines(docs, width))
+    kept = small_side(kept_lines(docs, size, width))
     rows = docs.select("doc_id", "text").withColumn("text", F.coalesce("text", F.lit("")))
     placed = rows.withColumn("d", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))).withColumn("t", F.xxhash64("text"))
     joined = placed.join(kept, ["d", "t"], "left").withColumn("lines", F.split("text", "\n"))
     stays = F.filter(
         "lines", lambda line, i: F.coalesce(F.array_contains("kept", i), F.lit(False)) | ~F.regexp_like(line, F.lit(r"[^\x20\x09-\x0D]"))
     )
-    return joined.withColumn("stay", stays).select(
+    # most documents lose nothing: their lines are not looked at one by one
+    whole = F.size(F.coalesce("kept", F.array())) == F.size("lines")
+    return joined.withColumn("stay", F.when(whole, F.col("lines")).otherwise(stays)).select(
         "doc_id", F.size("lines").cast("long").alias("n_lines"), (F.size("lines") - F.size("stay")).cast("long").alias("n_removed"),
         F.array_join("stay", "\n").alias("text"),
     )
 
 
-def report(docs: DataFrame, width: int = LIST) -> DataFrame:
+def report(docs: DataFrame, size: int = LIST, width: int = NEAR) -> DataFrame:
     """(doc_id, n_lines, n_removed, kept_bytes, kept_crc32) of every document."""
-    return deduplicated(docs, width).select(
+    return deduplicated(docs, size, width).select(
         "doc_id", "n_lines", "n_removed", F.octet_length("text").cast("long").alias("kept_bytes"), F.crc32("text").alias("kept_crc32")
     )

@@ -48,11 +48,11 @@ def corpus() -> list[tuple[int | None, str | None]]:
     return rows
 
 
-@pytest.mark.parametrize("width", [2, 32])
-def test_as_brute_force(spark, width):
+@pytest.mark.parametrize(("size", "width"), [(1, 2), (5, 32), (128, 32)])
+def test_as_brute_force(spark, size, width):
     rows = corpus()
     df = spark.createDataFrame([(i, t, "z") for i, t in rows], SCHEMA)
-    got = [(r["doc_id"], r["n_lines"], r["text"]) for r in line_dedup.deduplicated(df, width).collect()]
+    got = [(r["doc_id"], r["n_lines"], r["text"]) for r in line_dedup.deduplicated(df, size, width).collect()]
     assert sorted(got, key=str) == brute(rows)
 
 
