@@ -31,8 +31,8 @@ from quotebridge.sources import assessor_xml, exchange_files, landing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-EXCHANGE_SOURCE = "EEX"
-ASSESSOR_SOURCE = "ICIS ESGM"
+EXCHANGE_SOURCE = "exchange feed"
+ASSESSOR_SOURCE = "assessor feed"
 RUN_TS = "2024-01-31 06:50:00"
 WINDOW = (date(1997, 1, 1), date(1999, 12, 31))
 EXTRACT_WINDOW = (date(1996, 1, 1), date(2000, 12, 31))

@@ -267,8 +267,8 @@ def test_jobs_end_to_end(spark, tmp_path):
     counts = []
     for run, hour in enumerate((6, 8)):
         loads = [
-            jobs.load_internal(spark, landed, warehouse), jobs.load_exchange(spark, published, warehouse, "EEX"),
-            jobs.load_assessor(spark, published, warehouse, "ICIS ESGM"),
+            jobs.load_internal(spark, landed, warehouse), jobs.load_exchange(spark, published, warehouse, "exchange feed"),
+            jobs.load_assessor(spark, published, warehouse, "assessor feed"),
         ]
         for load in loads:
             n = {r.stage: r.no_rows for r in load.collect()}
