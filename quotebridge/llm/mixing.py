@@ -21,7 +21,7 @@ rows share their bucket and are taken one after the other; an empty table gives
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quotebridge.llm.common import BLANKS, staged
+from quotebridge.llm.common import small_side, staged
 
 SEED = "mix-1"
 EPOCHS = 2
@@ -53,10 +53,10 @@ def weight_of(name: Column, weights: dict[str, float]) -> Column:
     return result
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """doc_id, leaf keys (nulls as empty text) and tokens."""
+def keyed(docs: DataFrame, *more: Column) -> DataFrame:
+    """doc_id, leaf keys (nulls as empty text), tokens and ``more``."""
     return docs.select(
-        "doc_id", domain_of(F.coalesce("source", F.lit(""))).alias("domain"),
+        *more, "doc_id", domain_of(F.coalesce("source", F.lit(""))).alias("domain"),
         F.coalesce("lang", F.lit("")).alias("lang_key"), F.coalesce("source", F.lit("")).alias("source_key"),
         token_count(F.col("text")).alias("tokens"),
     )
@@ -82,11 +82,11 @@ def _poured(nodes: DataFrame, parent: list[str], own: str) -> DataFrame:
 def budgets(leaves: DataFrame, share: float = SHARE, epochs: int = EPOCHS) -> DataFrame:
     """(leaf keys, tokens, budget long) from (leaf keys, tokens): one row per leaf, few rows in all."""
     usable = F.sum(F.col("tokens") * epochs).alias("usable")
-    root = leaves.agg((F.coalesce(F.sum("tokens"), F.lit(0)) * F.lit(share)).alias("budget"), F.lit(1).alias("root"))
-    domains = leaves.groupBy("domain").agg(usable).withColumns(
+    domains = leaves.groupBy("domain").agg(usable, F.sum("tokens").alias("own")).withColumns(
         {"root": F.lit(1), "weight": weight_of(F.col("domain"), DOMAINS)}
     )
-    top = _poured(domains.join(F.broadcast(root), "root"), ["root"], "domain")
+    whole = F.sum("own").over(Window.partitionBy("root")) * F.lit(share)
+    top = _poured(domains.withColumn("budget", whole), ["root"], "domain")
     languages = leaves.groupBy("domain", "lang_key").agg(usable).withColumn(
         "weight", weight_of(F.col("lang_key"), LANGUAGES)
     ).join(top.select("domain", F.col("share").alias("budget")), "domain")
@@ -145,16 +145,15 @@ def selection(docs: DataFrame, share: float = SHARE, epochs: int = EPOCHS, seed:
 
 
 def mixed(docs: DataFrame, share: float = SHARE, epochs: int = EPOCHS, seed: str = SEED) -> DataFrame:
-    """The documents that the mixture reads at least once, with all their columns, once for each row of the input."""
-    extra = "__row"
-    while extra in docs.columns:
-        extra += "_"
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(extra)
-    rows = docs.select(
-        row, "doc_id", domain_of(F.coalesce("source", F.lit(""))).alias("domain"), F.coalesce("lang", F.lit("")).alias("lang_key"),
-        F.coalesce("source", F.lit("")).alias("source_key"), token_count(F.col("text")).alias("tokens"),
+    """The documents that the mixture reads at least once, with all their columns, once for each row of the input.
+
+    The choice is made on ids and counts; texts are only joined to it. Rows of one doc_id and text share their fate.
+    """
+    chosen_rows = chosen(staged(keyed(docs, F.xxhash64("text").alias("__text")), "keyed"), share, epochs, seed)
+    ids = small_side(staged(chosen_rows.select(F.col("doc_id").alias("__id"), "__text").distinct(), "chosen-ids"))
+    return docs.join(
+        ids, docs["doc_id"].eqNullSafe(ids["__id"]) & (F.xxhash64(docs["text"]) == ids["__text"]), "left_semi"
     )
-    return chosen(rows, share, epochs, seed).select(f"{extra}.*")
 
 
 #: The same selection as SQL; a tree of three levels, each poured by windows.

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotebridge.llm.common import raw_texts, staged
+from quotebridge.llm.common import raw_texts, small_side, staged
 from quotebridge.llm.components import components
 
 SEED = 42
@@ -125,6 +125,6 @@ def keep_one(docs: DataFrame, list_size: int = LIST) -> DataFrame:
     the kept doc_id that share its text all stay: removing equal ids is not this operator's task.
     """
     found = near_duplicates(docs.select("doc_id", "text"), list_size)
-    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
+    kept = small_side(staged(found.where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct(), "kept-ids"))
     alone = docs.where("doc_id IS NULL")
     return docs.join(kept, F.col("doc_id").cast("long") == F.col("__kept"), "left_semi").unionByName(alone)
