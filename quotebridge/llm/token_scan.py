@@ -85,7 +85,7 @@ def written(docs: DataFrame, vocabulary: str = VOCABULARY, block_tokens: int = B
         yield from cut(True)
 
     blocks = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "block long, tokens binary, ends array<long>")
-    return staged(blocks.select(F.spark_partition_id().cast("string").alias("file"), "block", "tokens", "ends"), "token-files")
+    return staged(blocks.select(F.spark_partition_id().cast("string").alias("file"), "block", "tokens", "ends"), "token-files", "zstd")
 
 
 def flat_blocks(spark: SparkSession, path: str, width: int = 2, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
