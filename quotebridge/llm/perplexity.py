@@ -2,9 +2,10 @@
 
 The language model is a modified Kneser-Ney model over UTF-16 units, as nearly every word of a large corpus is rare:
 over words, junk would hide in the class of unknown words. A 4-gram packs into 64 bits without collisions.
-Spark counts the 4-grams of all texts; lower orders use continuation counts. Probabilities and back-off
-weights go into sorted arrays per language and order, which are searched in blocks of texts. Each array holds at most
-``ARRAY_ROWS`` entries: if a level has more, the rarest are left to the back-off, so the broadcast is bounded.
+Spark counts the 4-grams of all texts; lower orders use continuation counts. As all scored texts are counted, each of their
+4-grams has its own probability in the stored model, whatever the size of the corpus. The most frequent ones, at most
+``ARRAY_ROWS``, are broadcast as sorted arrays per language, which are searched in blocks of texts; the 4-grams of a text that are
+not among them are joined to the stored rest of the model and added to its sum. How many are broadcast changes no result.
 
 The log perplexity of a document is its negative log probability per word that is more than punctuation. Its spread falls
 with the root of the words, so the band of a language is narrower for longer texts: a document is kept if no base rule
@@ -21,7 +22,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,6 +37,8 @@ SYMBOLS = b"#*$%&|<>"
 PUNCTUATION = string.punctuation.encode()
 #: Units that one call of numpy works on; bounds the memory of a task.
 UNITS = 2_000_000
+#: 4-grams that one row of a text's rest holds.
+REST = 4096
 METRICS = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
     "base_failed boolean, n_lexical long, n_units long, loss double"
@@ -171,8 +175,8 @@ def kneser_ney(counts: DataFrame) -> list[tuple[int, DataFrame, DataFrame]]:
     return found
 
 
-def _fitting(level: DataFrame, rows: int) -> DataFrame:
-    """The most frequent entries of a level, at most ``rows`` of them; all if they fit."""
+def _frequent(level: DataFrame, rows: int) -> Column:
+    """Whether an entry of a level is among its most frequent ones, which are at most ``rows``; all are if they fit."""
     step = F.floor(F.log2("n") * 16)
     steps = level.groupBy(step.alias("step")).agg(F.count("*").alias("rows")).orderBy(F.desc("step")).collect()
     total, least = 0, None
@@ -181,25 +185,40 @@ def _fitting(level: DataFrame, rows: int) -> DataFrame:
         if total > rows:
             break
         least = row["step"]
-    return level.where(step >= least) if least is not None else level.where("false")
+    return step >= least if least is not None else F.lit(False)
+
+
+def _arrays(level: DataFrame, kind: str, order: int, value: str) -> Arrays:
+    """Sorted keys and natural logs of ``value`` of a level, per language."""
+    arrays: Arrays = {}
+    kept = level.select("lang", "gram", F.log(value).cast("float").alias("value")).toArrow()
+    lang = np.asarray(kept["lang"].to_numpy(), dtype=object)
+    gram = kept["gram"].to_numpy().astype(np.int64).view(np.uint64)
+    values = kept["value"].to_numpy().astype(np.float32)
+    for name in sorted(set(lang.tolist())):
+        own = np.flatnonzero(lang == name)
+        own = own[np.argsort(gram[own])]
+        arrays[name, kind, order] = (gram[own], values[own])
+    return arrays
 
 
 def sorted_arrays(counts: DataFrame, rows: int = ARRAY_ROWS) -> Arrays:
-    """Sorted keys and natural logs of probabilities ("p") and back-off weights ("w") per language and order."""
+    """The most frequent entries of all orders, probabilities ("p") and back-off weights ("w"): a small model for any text."""
     arrays: Arrays = {}
     for order, probabilities, contexts in kneser_ney(counts):
         for kind, level, value in (("p", probabilities, "p"), ("w", contexts, "weight")):
-            kept = _fitting(level, rows).select("lang", "gram", F.log(value).cast("float").alias("value")).toArrow()
-            lang = np.asarray(kept["lang"].to_numpy(), dtype=object)
-            gram = kept["gram"].to_numpy().astype(np.int64).view(np.uint64)
-            values = kept["value"].to_numpy().astype(np.float32)
-            for name in sorted(set(lang.tolist())):
-                own = np.flatnonzero(lang == name)
-                own = own[np.argsort(gram[own])]
-                arrays[name, kind, order] = (gram[own], values[own])
+            arrays |= _arrays(level.where(_frequent(level, rows)), kind, order, value)
     return arrays
 
 
+def split_model(counts: DataFrame, rows: int = ARRAY_ROWS) -> tuple[Arrays, DataFrame]:
+    """The whole model of the counted 4-grams: the most frequent as sorted arrays, the others as (lang, gram, value)."""
+    level = kneser_ney(counts)[-1][1]
+    frequent = _frequent(level, rows)
+    rest = level.where(~frequent).select("lang", "gram", F.log("p").cast("float").alias("value"))
+    return _arrays(level.where(frequent), "p", ORDER, "p"), rest
+
+
 def _search(arrays: Arrays, key: tuple[str, str, int], wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(found or not, value or 0) of each wanted key."""
     keys, values = arrays.get(key, (np.empty(0, np.uint64), np.empty(0, np.float32)))
@@ -224,9 +243,13 @@ def log_probabilities(arrays: Arrays, lang: str, packed: np.ndarray) -> np.ndarr
     return result
 
 
-def losses(arrays: Arrays, langs: list[str], texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(predicted units, negative log probability) of each text; texts of a language go together."""
+def losses(arrays: Arrays, langs: list[str], texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(predicted units, negative log probability of the 4-grams in the arrays) of each text, and the other 4-grams: text, gram.
+
+    Texts of a language go together.
+    """
     count, total = np.zeros(len(texts), np.int64), np.zeros(len(texts))
+    others, missing = [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
     for lang in set(langs):
         parts: list[np.ndarray] = []
         owners: list[int] = []
@@ -234,9 +257,12 @@ def losses(arrays: Arrays, langs: list[str], texts: list[bytes]) -> tuple[np.nda
 
         def flush() -> None:
             if parts:
-                found = log_probabilities(arrays, lang, np.concatenate(parts))
-                starts = np.cumsum([0] + [len(p) for p in parts[:-1]])
-                np.add.at(total, owners, np.add.reduceat(found, starts))
+                packed = np.concatenate(parts)
+                hit, found = _search(arrays, (lang, "p", ORDER), packed)
+                lengths = [len(p) for p in parts]
+                np.add.at(total, owners, np.add.reduceat(found, np.cumsum([0] + lengths[:-1])))
+                missing.append(packed[~hit])
+                others.append(np.repeat(np.array(owners, np.int64), lengths)[~hit])
                 parts.clear()
                 owners.clear()
 
@@ -251,35 +277,70 @@ def losses(arrays: Arrays, langs: list[str], texts: list[bytes]) -> tuple[np.nda
                     flush()
                     size = 0
         flush()
-    return count, -total
+    return count, -total, np.concatenate(others), np.concatenate(missing)
+
 
+def scanned(docs: DataFrame, arrays: Arrays, carry: list[str]) -> DataFrame:
+    """(row: the columns named in ``carry``, lang, base metrics, n_units, loss, key, rest null) of each document, and
+    (row null, lang, metrics null, key, rest: up to ``REST`` 4-grams) for its 4-grams that the arrays don't hold.
 
-def rated(docs: DataFrame, arrays: Arrays, carry: list[str]) -> DataFrame:
-    """(row: the columns named in ``carry``, lang, base metrics, n_units, loss) of each document."""
+    The loss is the sum over the 4-grams in the arrays. The key is a new one for each document, so the result must be stored.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(arrays)
     chosen = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"), F.coalesce("lang", F.lit("")).alias("lang"), "text"
     )
-    schema = T.StructType([chosen.schema["row"], T.StructField("lang", T.StringType())])
-    schema = T.StructType(schema.fields + T._parse_datatype_string(METRICS).fields)
+    fields = [T.StructField("row", chosen.schema["row"].dataType), T.StructField("lang", T.StringType())]
+    schema = T.StructType(fields + T._parse_datatype_string(METRICS + ", key long, rest array<long>").fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key = TaskContext.get().partitionId() << 40
         for whole in batches:
             for at in range(0, len(whole), 512):
                 batch = whole.slice(at, 512)
                 texts, langs = list(raw_texts(batch["text"])), batch["lang"].to_pylist()
                 metrics_of = list(map(base_metrics, texts))
                 metrics = list(zip(*metrics_of, strict=True))
-                count, loss = losses(shared.value, langs, texts)
+                count, loss, others, missing = losses(shared.value, langs, texts)
                 columns = [pa.array(m, pa.bool_() if k == 5 else pa.int64()) for k, m in enumerate(metrics)]
-                columns += [pa.array(count), pa.array(loss / np.array([m[6] for m in metrics_of], float), mask=count == 0)]
-                yield pa.record_batch([batch["row"], batch["lang"], *columns], names=schema.names)
+                columns += [pa.array(count), pa.array(loss), pa.array(np.arange(key, key + len(batch)))]
+                rests = pa.nulls(len(batch), pa.list_(pa.int64()))
+                yield pa.record_batch([batch["row"], batch["lang"], *columns, rests], names=schema.names)
+                if len(missing):
+                    order = np.argsort(others, kind="stable")
+                    others, missing = others[order], missing[order]
+                    first = np.searchsorted(others, others)  # place of the first 4-gram of the same text
+                    starts = np.flatnonzero((np.arange(len(others)) - first) % REST == 0)
+                    for some in range(0, len(starts), 512):
+                        own = starts[some: some + 512]
+                        stop = starts[some + 512] if some + 512 < len(starts) else len(others)
+                        texts_of = pa.array(others[own])
+                        filled = {
+                            "row": pa.nulls(len(own), batch["row"].type),
+                            "lang": batch["lang"].take(texts_of), "key": pa.array(key + others[own]),
+                            "rest": pa.ListArray.from_arrays(
+                                pa.array(np.append(own, stop) - own[0], pa.int32()), pa.array(missing[own[0]: stop].view(np.int64))
+                            ),
+                        }
+                        nulls = {name: pa.nulls(len(own), c.type) for name, c in zip(schema.names[2:], columns)}
+                        yield pa.record_batch({name: (nulls | filled)[name] for name in schema.names})
+                key += len(batch)
 
     return chosen.mapInArrow(run, schema)
 
 
+def rated(docs: DataFrame, arrays: Arrays, rest: DataFrame, carry: list[str]) -> DataFrame:
+    """(row, lang, base metrics, n_units, loss per word) of each document, over all its 4-grams."""
+    found = staged(scanned(docs, arrays, carry), "scanned")
+    others = found.where("rest IS NOT NULL").select("key", "lang", F.explode("rest").alias("gram"))
+    sums = others.join(rest, ["lang", "gram"]).groupBy("key").agg((-F.sum("value")).alias("other"))
+    joined = found.where("rest IS NULL").drop("rest").join(small_side(staged(sums, "rest-sums")), "key", "left")
+    loss = F.when(F.col("n_units") > 0, (F.col("loss") + F.coalesce("other", F.lit(0.0))) / F.col("n_lexical"))
+    return joined.withColumn("loss", loss).drop("key", "other")
+
+
 def judged(scores: DataFrame) -> DataFrame:
-    """The stored ``rated`` rows with kept, lower and upper: inside the band of their language, and no base rule failed."""
+    """The ``rated`` rows with kept, lower and upper: inside the band of their language, and no base rule failed."""
     usable = scores.where("NOT base_failed AND loss IS NOT NULL")
     middle = small_side(staged(usable.groupBy("lang").agg(F.percentile_approx("loss", 0.5, 10_000).alias("middle")), "middles"))
     root = F.sqrt("n_lexical")
@@ -296,7 +357,7 @@ def judged(scores: DataFrame) -> DataFrame:
 def quality(docs: DataFrame, carry: list[str], rows: int = ARRAY_ROWS) -> DataFrame:
     """Counts, fits, scores and judges all documents: (row, metrics, band, kept)."""
     counts = staged(gram_counts(docs), "gram-counts")
-    return judged(staged(rated(docs, sorted_arrays(counts, rows), carry), "rated"))
+    return judged(rated(docs, *split_model(counts, rows), carry))
 
 
 def verdicts(docs: DataFrame, rows: int = ARRAY_ROWS) -> DataFrame:

@@ -128,3 +128,20 @@ def test_verdicts(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert perplexity.verdicts(df).collect() == [] and perplexity.accepted(df).collect() == []
+
+
+@pytest.mark.parametrize("rows", [0, 60, 10_000])
+def test_losses_do_not_depend_on_what_is_broadcast(spark, monkeypatch, rows):
+    monkeypatch.setattr(perplexity, "REST", 16)
+    texts = {"en": corpus(30), "de": [t[::-1] for t in corpus(12)], "rare": ["zebra xylophone 漢字 quartz"]}
+    models = {lang: brute_model(own + own[:lang == "en"]) for lang, own in texts.items()}
+    docs = [(i, t, lang) for lang, own in texts.items() for i, t in enumerate(own)]
+    df = spark.createDataFrame([*docs, docs[0]], "doc_id long, text string, lang string")
+    found = perplexity.verdicts(df, rows).collect()
+    assert len(found) == len(docs) + 1
+    got = {(r.doc_id, r.lang): r.loss for r in found}
+    for i, text, lang in docs:
+        units = perplexity.units(text.encode()).tolist()
+        total = -sum(math.log(models[lang](tuple(units[k:k + 4]))) for k in range(len(units) - 3))
+        words = max(1, len(re.sub(r"[!-/:-@\[-`{-~]", "", text).split()))
+        assert math.isclose(got[i, lang], total / words, rel_tol=1e-4)
