@@ -26,7 +26,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the mixture reads at least once stay, each once."""
+    """Documents of a mixture to target weights stay, each once."""
     return mixing.mixed(docs)
 
 

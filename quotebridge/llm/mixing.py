@@ -144,12 +144,13 @@ def selection(docs: DataFrame, share: float = SHARE, epochs: int = EPOCHS, seed:
     )
 
 
-def mixed(docs: DataFrame, share: float = SHARE, epochs: int = EPOCHS, seed: str = SEED) -> DataFrame:
-    """The documents that the mixture reads at least once, with all their columns, once for each row of the input.
+def mixed(docs: DataFrame, share: float = SHARE, seed: str = SEED) -> DataFrame:
+    """The documents of a mixture of one epoch, with all their columns, once for each row of the input.
 
+    As no document is given twice, a leaf can use its tokens once; its shortage goes to siblings that still have documents.
     The choice is made on ids and counts; texts are only joined to it. Rows of one doc_id and text share their fate.
     """
-    chosen_rows = chosen(staged(keyed(docs, F.xxhash64("text").alias("__text")), "keyed"), share, epochs, seed)
+    chosen_rows = chosen(staged(keyed(docs, F.xxhash64("text").alias("__text")), "keyed"), share, 1, seed)
     ids = small_side(staged(chosen_rows.select(F.col("doc_id").alias("__id"), "__text").distinct(), "chosen-ids"))
     return docs.join(
         ids, docs["doc_id"].eqNullSafe(ids["__id"]) & (F.xxhash64(docs["text"]) == ids["__text"]), "left_semi"

@@ -84,6 +84,19 @@ def test_mixing_has_no_python_in_its_plan(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_mixed_emits_the_budgets_beside_a_hot_source(spark):
+    sizes = {"src0": 600, "src4": 10, "src8": 40, "src1": 20, "src5": 300, "src2": 5, "src3": 200}
+    rows = [(1000 * k + i, "w " * 10, ["en", "de"][i % 2], s, None, None) for k, (s, n) in enumerate(sizes.items()) for i in range(n)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    leaves = mixing.keyed(df).groupBy(*mixing.LEAF).agg({"tokens": "sum"}).withColumnRenamed("sum(tokens)", "tokens")
+    want = {(r.lang_key, r.source_key): r.budget for r in mixing.budgets(leaves, epochs=1).collect()}
+    got = Counter()
+    for r in mixing.mixed(df).collect():
+        got[r.lang, r.source] += 10
+    assert all(want[leaf] <= got[leaf] < want[leaf] + 10 for leaf in want)
+    assert sum(got.values()) >= mixing.SHARE * 10 * len(rows) - len(want)
+
+
 # --- sharding --------------------------------------------------------------------------------
 
 def test_shards(spark):
