@@ -4,16 +4,18 @@ Texts are word sequences. Of all suffixes only those that begin at a minimiser a
 grams of ``GRAM`` words the one with the least hash, chosen by content alone, so a passage of ``LEAST`` = 50 words has the
 same one wherever it stands. Grams of one text only are dropped before anything wide is made. The others carry hashes of the
 ``REACH`` words to their right and left, are sorted over the cluster by gram, right words and left words, and each is compared
-with its ``MATES`` nearest neighbours on both sides: common right words plus common left words give the match, and matches of 50
-words or more are spans of that text. Overlapping spans of a text are joined, so longer passages come out whole.
+with the other suffixes of its gram: common right words plus common left words give the match, and matches of 50 words or more
+are spans of that text and a partner.
 
-The sort is a range sort, which splits a passage that many documents hold. What neighbours can't decide (grams with more rows
-than ``MATES`` on a side whose match could still be wider, grams that an edge of a partition may have cut) is finished
-exactly: every passage of 50 words around such a gram is hashed, and hashes of two texts are matches. That too is
-linear in the rows, and combined before it is shuffled.
+Grams with more than ``MATES`` + 1 suffixes are not compared in pairs: every passage of 50 words around such a gram is hashed, and
+equal hashes of two texts are matches. That is linear in the rows, and combined before it is shuffled.
+
+The partner of a match is the representative of the passage: of the texts that hold it, the one with the least hash, and for that
+text itself one of the others. So all holders of a passage of 50 words name one text and meet there. Overlapping and touching
+matches with one partner are joined, so longer passages come out whole; matches with different partners stay apart.
 
 Equal texts are one text (by a 64-bit hash); their documents share its spans, and if they have 50 words or more the whole text is
-one. Words are compared by 32-bit hashes, grams by 64-bit ones.
+one more, marked as a copy. Words are compared by 32-bit hashes, grams by 64-bit ones.
 
 Defined results: null, blank and short texts have no span; repeats inside one text don't count; documents without doc_id take part
 and are reported with a null doc_id; repeated rows give repeated rows; an empty table gives no rows; only doc_id and text are read.
@@ -163,64 +165,51 @@ def _common(words: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.where(same.all(axis=1), REACH, same.argmin(axis=1))
 
 
-def compared(gram: np.ndarray, near: np.ndarray, far: np.ndarray, t: np.ndarray, pos: np.ndarray) -> tuple[dict, np.ndarray]:
-    """Matches of rows in sorted order, and the grams of which some row may have more than its ``MATES`` neighbours show."""
+def compared(gram: np.ndarray, near: np.ndarray, far: np.ndarray, t: np.ndarray, pos: np.ndarray) -> dict:
+    """Matches of rows in sorted order. Of the mates of a row, by their texts' order, those go that show no more than an earlier one.
+
+    The least of the texts that hold a passage is never dropped, so all the others keep their match with it.
+    """
     m = len(gram)
     rows = np.arange(m)
     change = np.flatnonzero(gram[1:] != gram[:-1]) + 1
-    starts, stops = np.concatenate(([0], change)), np.append(change, m)
-    group = np.searchsorted(starts, rows, side="right") - 1
-    left, right = np.full(m, -1), np.full(m, -1)
-    other = np.zeros(m, np.int64)
-    for step in (s * k for k in range(1, MATES + 1) for s in (-1, 1)):
-        mate = rows + step
-        own = rows[(mate >= starts[group]) & (mate < stops[group])]
+    stops = np.append(change, m)[np.searchsorted(change, rows, side="right")]
+    pairs = [np.empty((4, 0), np.int64)]
+    for step in range(1, int((stops - rows).max())):
+        own = rows[rows + step < stops]
         own = own[t[own] != t[own + step]]
-        if not len(own):
-            continue
-        r, l = _common(near, own, own + step) + GRAM, _common(far, own, own + step)
-        good = r + l >= LEAST
-        own, r, l = own[good], r[good], l[good]
-        other[own[right[own] < 0]] = t[own[right[own] < 0] + step]
-        right[own], left[own] = np.maximum(right[own], r), np.maximum(left[own], l)
-    found = right >= 0
-    widest = (left == (far != 0).sum(axis=1)) & (right == GRAM + (near != 0).sum(axis=1))
-    seen_all = (rows - starts[group] <= MATES) & (stops[group] - 1 - rows <= MATES)
-    matched = {"t": t[found], "start": pos[found] - left[found], "stop": pos[found] + right[found], "other": other[found]}
-    return matched, np.unique(gram[~(widest | seen_all)])
-
-
-MATCH = "gram long, t long, start long, stop long, other long"
+        right, left = _common(near, own, own + step) + GRAM, _common(far, own, own + step)
+        good = right + left >= LEAST
+        own, right, left = own[good], right[good], left[good]
+        pairs += [np.stack([own, own + step, left, right]), np.stack([own + step, own, left, right])]
+    own, mate, left, right = np.concatenate(pairs, axis=1)
+    order = np.lexsort((mate, t[mate], own))
+    own, mate, left, right = own[order], mate[order], left[order], right[order]
+    shown = np.zeros(len(own), bool)
+    for step in range(1, int(np.bincount(own).max()) if len(own) else 0):
+        shown[step:] |= (own[step:] == own[:-step]) & (left[step:] <= left[:-step]) & (right[step:] <= right[:-step])
+    own, mate, left, right = own[~shown], mate[~shown], left[~shown], right[~shown]
+    return {"t": t[own], "start": pos[own] - left, "stop": pos[own] + right, "other": t[mate]}
 
 
 def neighbours(ordered: DataFrame) -> DataFrame:
-    """Matches inside each sorted partition (gram null), and the grams that are left open (all else null).
-
-    Grams that a partition or a chunk may have cut in two are open as well.
-    """
+    """(t, start, stop, other): matches inside each sorted partition; no gram is in two of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         size = 0
-        begun = False
 
         def work(last: bool) -> Iterator[pa.RecordBatch]:
-            nonlocal held, size, begun
+            nonlocal held, size
             table = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
             gram = table["gram"].to_numpy()
-            cut = len(table) if last or gram[0] == gram[-1] else int(np.searchsorted(gram, gram[-1]))
-            ready, held = table.slice(0, cut), [] if cut == len(table) else [table.slice(cut)]
+            cut = len(table) if last else int(np.searchsorted(gram, gram[-1]))
+            ready, held = table.slice(0, cut), [table.slice(cut)] if cut < len(table) else []
             size = len(table) - cut
-            gram = gram[:cut]
-            found, undecided = compared(
-                gram, _matrix(ready["near"]), _matrix(ready["far"]), ready["t"].to_numpy(), ready["pos"].to_numpy().astype(np.int64)
-            )
-            edges = ([] if begun else [gram[0]]) + ([gram[-1]] if not held else [])
-            undecided = np.unique(np.append(undecided, edges).astype(np.int64))
-            begun = bool(held)  # nothing held: the next rows may go on with this gram
-            yield pa.record_batch({"gram": pa.nulls(len(found["t"]), pa.int64()), **found})
-            empty = pa.nulls(len(undecided), pa.int64())
-            yield pa.record_batch({"gram": undecided, "t": empty, "start": empty, "stop": empty, "other": empty})
+            if cut:
+                yield pa.record_batch(compared(
+                    gram[:cut], _matrix(ready["near"]), _matrix(ready["far"]), ready["t"].to_numpy(), ready["pos"].to_numpy().astype(np.int64)
+                ))
 
         for batch in batches:
             if len(batch):
@@ -231,36 +220,45 @@ def neighbours(ordered: DataFrame) -> DataFrame:
         if held:
             yield from work(True)
 
-    return ordered.mapInArrow(run, MATCH)
+    return ordered.mapInArrow(run, "t long, start long, stop long, other long")
 
 
-def windows(rows: DataFrame) -> DataFrame:
-    """(key, t, start) of every passage of 50 words around the gram of each suffix."""
+def windows(texts: DataFrame, places: DataFrame) -> DataFrame:
+    """(key, t, start) of every passage of 50 words around a gram at the given places (t, at: list), each once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers = np.full(LEAST + 1, 0x9E3779B97F4A7C15, np.uint64)
-        powers[0] = 1
-        powers = np.cumprod(powers)
+        known = WordHashes()
+        rows: list[tuple] = []
+        size = 0
+
+        def batch_of() -> pa.RecordBatch:
+            key, t, start = map(np.concatenate, zip(*rows, strict=True))
+            return pa.record_batch({"key": key, "t": t, "start": start})
+
         for batch in batches:
-            near, far = _matrix(batch["near"]).astype(np.uint64), _matrix(batch["far"]).astype(np.uint64)
-            gram, t, pos = batch["gram"].to_numpy(), batch["t"].to_numpy(), batch["pos"].to_numpy().astype(np.int64)
-            ahead = np.zeros((len(batch), REACH + 1), np.uint64)  # hashes of 0, 1, ... words to the right, then to the left
-            behind = np.zeros((len(batch), REACH + 1), np.uint64)
-            for k in range(REACH):
-                ahead[:, k + 1] = ahead[:, k] * powers[1] + near[:, k]
-                behind[:, k + 1] = behind[:, k] + far[:, k] * powers[k]
-            for j in range(REACH + 1):
-                inside = np.ones(len(batch), bool)
-                if j:
-                    inside &= far[:, j - 1] != 0
-                if j < REACH:
-                    inside &= near[:, REACH - j - 1] != 0
-                key = (behind[:, j] * powers[REACH - j] + ahead[:, REACH - j]) * np.uint64(0xBF58476D1CE4E5B9) + np.uint64(j)
-                key = key ^ (key >> np.uint64(32)) ^ gram.view(np.uint64)
-                own = np.flatnonzero(inside)
-                yield pa.record_batch({"key": key[own].view(np.int64), "t": t[own], "start": pos[own] - j})
-
-    return rows.mapInArrow(run, "key long, t long, start long")
+            for t, text, at in zip(batch["t"].to_pylist(), raw_texts(batch["text"]), batch["at"], strict=True):
+                hashes = word_hashes(text, known)
+                edges = np.zeros(len(hashes) + 1, np.int64)
+                pos = at.values.to_numpy()
+                np.add.at(edges, np.maximum(pos - REACH, 0), 1)
+                np.add.at(edges, pos + 1, -1)
+                starts = np.flatnonzero(np.cumsum(edges)[: len(hashes) - LEAST + 1] > 0)
+                for first in range(0, len(starts), CHUNK):
+                    own = starts[first: first + CHUNK]
+                    key = np.zeros(len(own), np.uint64)
+                    for k in range(LEAST):
+                        key = key * np.uint64(0x9E3779B97F4A7C15) + hashes[own + k].astype(np.uint64)
+                    key = (key ^ (key >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+                    key ^= key >> np.uint64(29)
+                    rows.append((key.view(np.int64), np.full(len(own), t), own))
+                    size += len(own)
+                    if size >= CHUNK:
+                        yield batch_of()
+                        rows, size = [], 0
+        if rows:
+            yield batch_of()
+
+    return texts.join(places, "t").select("t", "text", "at").mapInArrow(run, "key long, t long, start long")
 
 
 def places_of(found: DataFrame, grams: DataFrame) -> DataFrame:
@@ -272,38 +270,42 @@ def matches(texts: DataFrame) -> DataFrame:
     """(t, start, stop, other): words of a text that another text holds too."""
     found = staged(anchors(texts), "anchors")
     shared = staged(
-        found.groupBy("gram").agg(F.min("t").alias("a"), F.max("t").alias("b")).where("a < b").select("gram"), "shared-grams"
+        found.groupBy("gram").agg(F.min("t").alias("a"), F.max("t").alias("b"), F.count("*").alias("n")).where("a < b").select("gram", "n"),
+        "shared-grams",
     )
+    few = F.col("n") <= MATES + 1
     order = ["gram", "near", "far", "t", "pos"]
     parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = suffixes(texts, places_of(found, shared)).repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    compared_rows = staged(neighbours(ordered), "neighbours")
-    undecided = staged(compared_rows.where("gram IS NOT NULL").select("gram").distinct(), "open-grams")
-    passages = staged(windows(suffixes(texts, places_of(found, undecided))), "passages")
+    rows = suffixes(texts, places_of(found, shared.where(few).select("gram")))
+    compared_rows = staged(neighbours(rows.repartitionByRange(parts, "gram").sortWithinPartitions(*order)), "neighbours")
+    passages = staged(windows(texts, places_of(found, shared.where(~few).select("gram"))), "passages")
     common = staged(
         passages.groupBy("key").agg(F.min("t").alias("a"), F.max("t").alias("b")).where("a < b"), "common-passages"
     )
     rest = passages.join(common, "key").select(
         "t", "start", (F.col("start") + LEAST).alias("stop"), F.when(F.col("t") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("other")
     )
-    return compared_rows.where("gram IS NULL").select("t", "start", "stop", "other").unionAll(rest)
+    return compared_rows.unionAll(rest)
 
 
 def spans(found: DataFrame) -> DataFrame:
-    """(t, start, stop, other): overlapping matches of a text as one, with the least of the partners."""
-    window = Window.partitionBy("t").orderBy("start", "stop")
+    """(t, start, stop, other): overlapping and touching matches of a text and a partner as one."""
+    window = Window.partitionBy("t", "other").orderBy("start", "stop")
     before = F.max("stop").over(window.rowsBetween(Window.unboundedPreceding, -1))
     island = F.sum((F.coalesce(before, F.lit(-1)) < F.col("start")).cast("int")).over(window.rowsBetween(Window.unboundedPreceding, 0))
     marked = found.withColumn("before", before).select("t", "start", "stop", "other", island.alias("island"))
-    return marked.groupBy("t", "island").agg(F.min("start").alias("start"), F.max("stop").alias("stop"), F.min("other").alias("other"))
+    return marked.groupBy("t", "other", "island").agg(F.min("start").alias("start"), F.max("stop").alias("stop"))
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
-    """One row per document and repeated span: doc_id, start_word, end_word, words, other_doc_id, copy (whole text repeats)."""
+    """One row per document, repeated span and partner: doc_id, start_word, end_word, words, other_doc_id, copy.
+
+    Copy rows tell that the whole text repeats; the passages it shares with different texts have rows of their own.
+    """
     texts = distinct_texts(docs)
     found = staged(spans(matches(representatives(docs, texts))), "spans")
     whole = texts.where((F.col("times") > 1) & (F.col("words") >= LEAST))
-    partial = found.join(whole.select("t"), "t", "left_anti").join(
+    partial = found.join(
         texts.select(F.col("t").alias("other"), F.col("first").alias("other_id")), "other"
     ).select("t", "start", "stop", "other_id", F.lit(None).cast("long").alias("last_id"), F.lit(False).alias("copy"))
     copies = whole.select(

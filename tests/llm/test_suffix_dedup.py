@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from quotebridge.llm import suffix_dedup
 
@@ -91,3 +92,46 @@ def test_minimisers_depend_on_content_alone():
     own = suffix_dedup.minimisers(suffix_dedup.grams_of(passage[50:250]))
     whole = suffix_dedup.minimisers(suffix_dedup.grams_of(passage)) - 50
     assert set(own) <= set(whole.tolist())
+
+
+def links(df, rows):
+    """{(text, other text): words}, without copies, and the order of the texts."""
+    order = {r["text"]: r["t"] for r in df.selectExpr("text", "xxhash64(coalesce(text, '')) AS t").distinct().collect()}
+    text_of = dict(rows)
+    found: dict = {}
+    for r in suffix_dedup.repeated_passages(df).where("NOT copy").collect():
+        pair = text_of[r["doc_id"]], text_of[r["other_doc_id"]]
+        found.setdefault(pair, set()).update(range(r["start_word"], r["end_word"]))
+    return found, order
+
+
+@pytest.mark.parametrize("mates", [2, 16])
+def test_all_holders_of_a_passage_meet_in_one_text(spark, monkeypatch, mates):
+    monkeypatch.setattr(suffix_dedup, "MATES", mates)
+    draw = random.Random(5)
+
+    def prose(n):
+        return " ".join(f"w{draw.randrange(3000)}" for _ in range(n))
+
+    one, two, wide, wider = prose(55), prose(60), prose(30), prose(30)
+    rows = corpus()
+    rows += [(300, f"{prose(40)} {one} {prose(9)}"), (301, f"{prose(20)} {two}"), (302, f"{one} {two}")]
+    for k, shared in enumerate((wide, wide, wider, wider)):
+        rows.append((310 + k, f"{prose(10)} {shared} {two} {prose(10)}"))
+    rows += [(320 + k, f"{prose_of} {one}") for k, prose_of in enumerate([prose(70)] * 2 + [prose(80)] * 2)]
+    df = spark.createDataFrame([(i, t, "x") for i, t in rows], SCHEMA)
+    found, order = links(df, rows)
+    holders: dict = {}
+    for text in order:
+        words = (text or "").split()
+        for i in range(len(words) - 49):
+            holders.setdefault(tuple(words[i:i + 50]), {}).setdefault(text, []).append(i)
+    may: dict = {}
+    for own in (h for h in holders.values() if len(h) > 1):
+        first = min(own, key=order.get)
+        for text, starts in own.items():
+            covered_by = [found.get((text, o), set()) for o in ([first] if text != first else own) if o != text]
+            assert all(any(set(range(i, i + 50)) <= c for c in covered_by) for i in starts)
+            for other in own:
+                may.setdefault((text, other), set()).update(k for i in starts for k in range(i, i + 50))
+    assert all(words <= may[pair] for pair, words in found.items())
