@@ -5,6 +5,7 @@ carriage return): exactly what ``bytes.split()`` yields, and the only letters fo
 exactly what ``bytes.lower()`` folds.
 """
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from quotebridge.sinks.staging import new_folder
 
 BLANKS = r"[\x20\x09-\x0D]+"
+_BLANK = re.compile(rb"[\x20\x09-\x0D]")
 #: Largest side that is broadcast; larger ones are joined by shuffle.
 BROADCAST_ROWS = 1_000_000
 
@@ -44,3 +46,13 @@ def raw_texts(column: pa.Array) -> Iterator[bytes]:
 def fold(column):
     """A to Z in lower case, all other letters as they are."""
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def word_pieces(text: bytes, size: int = 1 << 20) -> Iterator[list[bytes]]:
+    """The words of a text, some of them at a time: about ``size`` bytes, cut at blanks."""
+    at = 0
+    while at < len(text):
+        blank = _BLANK.search(text, at + size)
+        end = blank.start() if blank else len(text)
+        yield text[at:end].split()
+        at = end
