@@ -37,11 +37,13 @@ FROM (
       WHEN 2 THEN 'NG_PNX_' || curve_hub || '.FM' WHEN 3 THEN 'NG_PNX_' || curve_hub || '.QAH'
       WHEN 4 THEN 'NG_ESGM_' || curve_hub || CASE WHEN l_orderkey % 31 = 0 THEN '_CONT_DA' ELSE '_DA' END
       WHEN 5 THEN 'NG_ESGM_' || curve_hub || CASE WHEN l_orderkey % 29 = 0 THEN '_IND_DA+WI' ELSE '_IND_DA+WSI' END
-      WHEN 6 THEN 'NG_ESGM_' || curve_hub || '_IND_D_MAH' WHEN 7 THEN 'NG_ESGM_' || curve_hub || '_IND_MONTHCUM'
+      WHEN 6 THEN 'NG_ESGM_' || curve_hub || '_IND_D_MAH'
+      WHEN 7 THEN 'NG_ESGM_' || curve_hub || CASE l_orderkey % 5 WHEN 1 THEN '_IND_MONTHLY' WHEN 2 THEN '_IND_OTHER' ELSE '_IND_MONTHCUM' END
       WHEN 8 THEN 'NG_ESGM_' || curve_hub || CASE l_orderkey % 3 WHEN 0 THEN '_BID' WHEN 1 THEN '_Avg' ELSE '_WIN21' END
       ELSE 'NG_ESGM_' || curve_hub || '_WKD' END AS index_name,
     CASE slot WHEN 0 THEN CASE WHEN l_orderkey % 37 = 0 THEN 'PNX EOD Legacy' ELSE 'PNX EOD' END WHEN 1 THEN 'EEX EGSI'
-      WHEN 2 THEN CASE WHEN l_orderkey % 41 = 0 THEN 'Powernext Other' ELSE 'PNX Month' END WHEN 3 THEN 'PNX Quarter'
+      WHEN 2 THEN CASE WHEN l_orderkey % 41 = 0 THEN 'Powernext Other' WHEN l_orderkey % 7 = 1 THEN 'PNX Season' WHEN l_orderkey % 7 = 2 THEN 'PNX Year'
+        WHEN l_orderkey % 7 = 3 THEN 'PNX Gasyear' ELSE 'PNX Month' END WHEN 3 THEN 'PNX Quarter'
       WHEN 6 THEN 'Heren Monthly' WHEN 7 THEN 'Heren_Month' WHEN 9 THEN CASE WHEN l_orderkey % 43 = 0 THEN 'Heren BOW' ELSE 'Heren Weekend' END
       ELSE 'Heren Fin' END AS publication,
     CASE WHEN slot = 6 THEN pub_date ELSE CAST(pub_date + INTERVAL '1' DAY AS DATE) END AS end_date,
@@ -58,6 +60,7 @@ _COMMA_PRICE = (
     " LPAD(CAST(price_e4 % 10000 AS STRING), 4, '0')"
 )
 
+# Spot lines: some hubs hold the '/' that parts the key, some prices are no number.
 # Published hub: every fifth key is quoted for another hub, so both sides keep unmatched rows.
 _PUBLISHED_HUB = "CASE WHEN (day_ix + hub_ix + slot) % 5 = 0 THEN 'THE' ELSE hub END"
 
@@ -65,12 +68,12 @@ RAW_SPOT = f"""
 SELECT CASE WHEN day_ix % 2 = 0 THEN 'SP' ELSE 'IL' END AS idx_code, location_name, product_name,
   CAST(CAST(pub_date + INTERVAL '1' DAY AS DATE) AS STRING) AS start_date,
   CAST(CAST(pub_date + INTERVAL '2' DAY AS DATE) AS STRING) AS end_date,
-  CASE WHEN l_orderkey % 23 = 0 THEN NULL ELSE {_COMMA_PRICE.format(sep=',')} END AS price_mid,
+  CASE WHEN l_orderkey % 23 = 0 THEN NULL WHEN l_orderkey % 73 = 0 THEN 'n/a' ELSE {_COMMA_PRICE.format(sep=',')} END AS price_mid,
   CASE WHEN hub_ix <> 0 THEN 'EUR/MWh' WHEN day_ix % 2 = 0 THEN 'GBP/thm' ELSE 'p/thm' END AS price_unit,
   CAST(pub_date AS STRING) AS pub_date,
   CAST(pub_date AS STRING) || ' 1' || CAST(l_linenumber AS STRING) || ':30:00' AS src_last_update
 FROM (
-  SELECT k.*, {_PUBLISHED_HUB} AS location_name,
+  SELECT k.*, CASE WHEN l_orderkey % 59 = 0 THEN hub || '/X' ELSE {_PUBLISHED_HUB} END AS location_name,
     CASE slot % 4 WHEN 0 THEN hub || ' DAY AHEAD' WHEN 1 THEN hub || ' WEEKEND' WHEN 2 THEN 'EGSI ' || hub || ' DAY AHEAD' ELSE 'EGSI WEEKEND' END AS product_name,
     base_e4 + CASE WHEN slot % 4 >= 2 THEN 1100 ELSE 0 END + CASE WHEN l_orderkey % 61 = 0 THEN 7 ELSE 0 END AS price_e4
   FROM quote_keys k
@@ -123,7 +126,8 @@ SELECT 'Natural Gas' AS commodity_type,
   'Price Assessment' AS methodology,
   CASE WHEN l_orderkey % 67 = 0 THEN 'Midpoint' ELSE 'Assessment' END AS quote_approach,
   'Spot' AS transaction_type,
-  'http://quotes/item/' || CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) AS src_price_id
+  'http://quotes/item/' || CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) ||
+    CASE l_orderkey % 11 WHEN 0 THEN '?a=1&b=<2>' WHEN 1 THEN '&lt;&#38;&#9999999;' WHEN 2 THEN ']] ünd €' ELSE '' END AS src_price_id
 FROM (
   SELECT k.*, base_e4 + CASE WHEN slot IN (0, 4) THEN 4400 WHEN slot = 1 THEN 9900 ELSE slot * 1100 END AS price_e4
   FROM quote_keys k

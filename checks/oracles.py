@@ -160,7 +160,7 @@ _PARTS |= {
           CASE WHEN product_name LIKE '%WEEKEND%' THEN 'Weekend' ELSE 'Day' END AS period_duration,
           CAST(pub_date AS DATE) AS pub_date, CAST(start_date AS DATE) AS start_date, CAST(CAST(end_date AS DATE) - INTERVAL 1 DAY AS DATE) AS end_date,
           {_number('price_mid')} AS price_mid, price_unit, CAST(src_last_update AS TIMESTAMP) AS src_last_update
-        FROM raw_spot WHERE price_mid IS NOT NULL""",
+        FROM raw_spot WHERE {_number('price_mid')} IS NOT NULL""",
     "futures_rows": f"""
         SELECT 'Futures' AS product_type, 'Settlement' AS product_name, location_name, '' AS period_rel, period_abs,
           string_split(product_name, ' ')[-2] AS period_duration,
@@ -172,7 +172,9 @@ _PARTS |= {
           SELECT *, 'EEX' AS publication_name, '{EXCHANGE_SOURCE}' AS data_source, 'Natural Gas' AS commodity_type, NULL AS price_bid, NULL AS price_offer, '' AS src_price_id,
             string_split({_EXCH_UNIT}, '/')[1] AS currency, string_split({_EXCH_UNIT}, '/')[2] AS unit
           FROM (SELECT * FROM spot_rows UNION ALL BY NAME SELECT * FROM futures_rows)))""",
-    "exchange_quotes": f"SELECT * FROM exchange_rows WHERE {_COMPLETE} QUALIFY row_number() OVER (PARTITION BY price_uk ORDER BY {_NEWEST}) = 1",
+    "exchange_valid": f"SELECT * FROM exchange_rows WHERE {_COMPLETE} AND NOT contains(location_name, '/')",
+    "exchange_quotes": f"SELECT * FROM exchange_valid QUALIFY row_number() OVER (PARTITION BY price_uk ORDER BY {_NEWEST}) = 1",
+    "exchange_newest": f"SELECT * FROM exchange_rows QUALIFY row_number() OVER (PARTITION BY price_uk ORDER BY {_NEWEST}) = 1",
     "assessment_rows": f"""
         SELECT commodity_type, src_last_update, pub_date, price_mid, price_offer, price_bid, start_date, end_date, period_abs, {_RELATIVE.format(t='period_rel')} AS period_rel,
           currency, unit, {_HUB} AS location_name, publication_name, src_price_id, transaction_type AS product_type,
@@ -189,11 +191,47 @@ _PARTS |= {
             '{ASSESSOR_SOURCE}' AS data_source
           FROM (SELECT * FROM assessment_rows UNION ALL BY NAME SELECT * FROM index_rows) WHERE location_name IN {_in(V.ASSESSOR_HUBS)})
         WHERE NOT (period_abs = 'BOM' AND date_trunc('month', pub_date) < date_trunc('month', end_date))""",
-    "assessor_quotes": f"SELECT {_QUOTE} FROM assessor_rows WHERE {_COMPLETE} QUALIFY row_number() OVER (PARTITION BY price_uk ORDER BY kind, {_NEWEST}) = 1",
+    "assessor_valid": f"SELECT * FROM assessor_rows WHERE {_COMPLETE}",
+    "assessor_quotes": f"SELECT {_QUOTE} FROM assessor_valid QUALIFY row_number() OVER (PARTITION BY price_uk ORDER BY kind, {_NEWEST}) = 1",
     "published": "SELECT * FROM exchange_quotes UNION ALL BY NAME SELECT * FROM assessor_quotes",
     "every_quote": "SELECT * FROM internal_quotes UNION ALL BY NAME SELECT * FROM published",
 }
 
+
+
+def _over(prefix: str, raw: dict[str, str]) -> None:
+    """The same parts over other raw feeds: each part that depends on one of them, again under a prefix."""
+    changed = dict(raw)
+    again = True
+    while again:
+        again = False
+        for name, sql in list(_PARTS.items()):
+            if name not in changed and any(re.search(rf"\b(FROM|JOIN)\s+{c}\b", sql) for c in changed):
+                changed[name] = sql
+                again = True
+    for name, sql in changed.items():
+        if name not in raw:
+            sql = re.sub(r"\b(FROM|JOIN)(\s+)(\w+)\b", lambda m: f"{m[1]}{m[2]}{prefix}{m[3]}" if m[3] in changed else m[0], sql)
+        _PARTS[prefix + name] = sql
+
+
+_YEAR_START = "substring(CAST(pub_date AS VARCHAR), 1, 4) || '-01-01'"
+# As files: what a file says of itself holds for its lines, which are those of one year.
+_over("f_", {
+    "raw_spot": f"SELECT * REPLACE ({_YEAR_START} AS pub_date, {_YEAR_START} || ' 18:00:00' AS src_last_update) FROM raw_spot",
+    "raw_futures": f"SELECT * REPLACE ({_YEAR_START} AS pub_date, {_YEAR_START} || ' 18:45:00' AS src_last_update) FROM raw_futures",
+})
+# As loads: published on the first day of the year.
+_over("l_", {
+    "raw_internal": f"SELECT * REPLACE (CAST({_YEAR_START} AS DATE) AS pub_date) FROM raw_internal",
+    "raw_assessments": f"SELECT * REPLACE ({_YEAR_START} AS pub_date) FROM raw_assessments",
+    "raw_indices": f"SELECT * REPLACE ({_YEAR_START} AS pub_date) FROM raw_indices",
+})
+_PARTS["short_lines"] = (
+    f"SELECT DISTINCT 'SP' AS idx_code, 'short' AS location_name, {_YEAR_START} AS pub_date, {_YEAR_START} || ' 18:00:00' AS src_last_update,"
+    " replace(location_name, '/', '-') AS hub, 1 AS malformed FROM raw_spot"
+)
+
 # --- comparison: the three joins written out, then one row per pair -----------------------------
 
 _CLASS = (
@@ -343,9 +381,22 @@ _BY_DATE = (
 )
 _WINDOW = f"BETWEEN DATE '{WINDOW[0]}' AND DATE '{WINDOW[1]}'"
 _CODE = _RELATIVE.format(t="period_rel")
-_FILE_MONTH = "substring(pub_date, 1, 7) || '-01'"
-_SPOT_FILES = _sql(f"SELECT * REPLACE ({_FILE_MONTH} AS pub_date, {_FILE_MONTH} || ' 18:00:00' AS src_last_update) FROM raw_spot")
-_FUTURES_FILES = _sql(f"SELECT * REPLACE ({_FILE_MONTH} AS pub_date, {_FILE_MONTH} || ' 18:45:00' AS src_last_update) FROM raw_futures")
+_SPOT_FILES = _sql(
+    "SELECT *, 0 AS malformed FROM f_raw_spot UNION ALL BY NAME SELECT * EXCLUDE (hub), NULL AS product_name, NULL AS start_date, NULL AS end_date, NULL AS price_mid,"
+    " NULL AS price_unit FROM short_lines"
+)
+_FUTURES_FILES = _sql("SELECT *, 0 AS malformed FROM f_raw_futures")
+
+
+def _counters(loaded: str, unreadable: str, rows: str, valid: str, stored: str) -> str:
+    """Rows of each step, and from them the counters of a load; what is unreadable is part of what is quarantined."""
+    return _sql(
+        f"SELECT unnest(['loaded', 'ruled_out', 'unreadable', 'quarantined', 'duplicates', 'stored', 'table_rows', 'quarantine_rows']) AS stage,"
+        " unnest([loaded, loaded - unreadable - rows, unreadable, unreadable + rows - valid, valid - stored, stored, stored, unreadable + rows - valid]) AS no_rows"
+        f" FROM (SELECT ({loaded})::BIGINT AS loaded, ({unreadable})::BIGINT AS unreadable, (SELECT count(*) FROM {rows}) AS rows,"
+        f" (SELECT count(*) FROM {valid}) AS valid, (SELECT count(*) FROM {stored}) AS stored)"
+    )
+
 
 ORACLES = {
     "internal_quotes": _quotes("internal_quotes"),
@@ -394,7 +445,7 @@ ORACLES = {
         "SELECT price_uk, src_price_id, round(price_mid, 6) AS price_mid, strftime(src_last_update, '%Y-%m-%d %H:%M:%S') AS src_last_update,"
         f" CASE WHEN count(*) OVER (PARTITION BY price_uk) > 1 THEN 1 ELSE 0 END AS is_duplicate, CASE WHEN row_number() OVER (PARTITION BY price_uk ORDER BY {_NEWEST}) > 1 THEN 1 ELSE 0 END AS is_repeat"
         " FROM internal_valid"),
-    "newest_per_key": _quotes("exchange_quotes"),
+    "newest_per_key": _quotes("exchange_newest"),
     "inconsistent_quotes": _sql(
         "SELECT price_uk, round(min(price_mid), 6) AS min_price, round(max(price_mid), 6) AS max_price, count(*) AS no_prices FROM internal_valid"
         " GROUP BY price_uk HAVING count(*) > 1 AND min(internal_valid.price_mid) <> max(internal_valid.price_mid)"),
@@ -470,6 +521,21 @@ ORACLES = {
         " (SELECT unnest(generate_series(min(l_shipdate), max(l_shipdate), INTERVAL 1 DAY)) AS d FROM lineitem)"
         f" CROSS JOIN (SELECT unnest({_list(V.EXCHANGE_HUBS)}) AS hub) CROSS JOIN (SELECT unnest({_list(V.EXCHANGE_PRODUCTS)}) AS product)) e"
         " LEFT JOIN landed_feeds l ON l.pub_date = e.pub_date AND l.hub = e.hub AND l.product = e.product WHERE l.hub IS NULL"),
+    "missing_feed_files": _sql(
+        "SELECT CAST(e.pub_date AS VARCHAR) AS pub_date, e.hub, e.product FROM (SELECT CAST(d AS DATE) AS pub_date, hub, product FROM"
+        " (SELECT unnest(generate_series(min(l_shipdate), max(l_shipdate), INTERVAL 1 DAY)) AS d FROM lineitem)"
+        f" CROSS JOIN (SELECT unnest({_list(V.EXCHANGE_HUBS)}) AS hub) CROSS JOIN (SELECT unnest({_list(V.EXCHANGE_PRODUCTS)}) AS product)) e"
+        " LEFT JOIN (SELECT DISTINCT CAST(pub_date AS DATE) AS pub_date, lower(location_name) AS hub, 'spot' AS product FROM f_raw_spot"
+        "   UNION ALL SELECT DISTINCT CAST(pub_date AS DATE), lower(location_name), 'derivatives' FROM f_raw_futures) l"
+        " ON l.pub_date = e.pub_date AND l.hub = e.hub AND l.product = e.product WHERE l.hub IS NULL"),
+    "load_internal": _counters("SELECT count(*) FROM l_raw_internal", "0", "l_internal_rows", "l_internal_valid", "l_internal_quotes"),
+    "load_exchange": _counters(
+        "SELECT (SELECT count(*) FROM f_raw_spot) + (SELECT count(*) FROM f_raw_futures) + (SELECT count(*) FROM short_lines)",
+        "SELECT (SELECT count(*) FROM f_raw_spot WHERE price_mid = 'n/a') + (SELECT count(*) FROM short_lines)",
+        "f_exchange_rows", "f_exchange_valid", "f_exchange_quotes"),
+    "load_assessor": _counters(
+        "SELECT (SELECT count(*) FROM l_raw_assessments) + (SELECT count(*) FROM l_raw_indices)", "0", "l_assessor_rows", "l_assessor_valid", "l_assessor_quotes"),
+    "load_incremental": _quotes("f_exchange_quotes"),
     "rolling_window": _sql(
         "SELECT commodity, index_name, publication, CAST(t.pub_date AS VARCHAR) AS pub_date, CAST(end_date AS VARCHAR) AS end_date, round(price, 6) AS price, currency, unit,"
         " strftime(last_update, '%Y-%m-%d %H:%M:%S') AS last_update FROM raw_internal t"

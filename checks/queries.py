@@ -23,6 +23,7 @@ from quotebridge.operators import merge as M
 from quotebridge.operators import reconcile as R
 from quotebridge.operators.dedupe import dedupe_quotes, newest_first
 from quotebridge.operators.skew import flag_duplicates
+from quotebridge.plans import jobs
 from quotebridge.plans import normalize as N
 from quotebridge.schema import PAIR_KEY, QUOTE_COLUMNS
 from quotebridge.sinks import tables
@@ -587,37 +588,34 @@ def landed_internal(spark, sf_dir):
     return shown(df.drop("source"))
 
 
+def _without_source(lines):
+    return shown(lines.drop("source_file", "source_line"))
+
+
 def spot_files(spark, sf_dir):
-    path = file_feeds.write_spot_files(spark, sf_dir)
-    return shown(exchange_files.read_exchange_spot(
-        spark, f"{path}/feed_file={V.SPOT_FILE_PATTERN}*", glob=None
-    ))
+    return _without_source(exchange_files.read_exchange_spot(spark, file_feeds.write_spot_files(spark, sf_dir)))
 
 
 def spot_files_by_split(spark, sf_dir):
-    """The same files by the folder of all of them, recursively."""
+    """The same files, each by its own path in a list."""
     path = file_feeds.write_spot_files(spark, sf_dir)
-    return shown(exchange_files.read_exchange_spot(spark, path, glob="part-*"))
+    names = landing.landed_files(spark, path).select("file_path").collect()
+    return _without_source(exchange_files.read_exchange_spot(spark, [r.file_path for r in names]))
 
 
 def futures_files_by_split(spark, sf_dir):
+    """The same files, their lines stored before they are parsed, as a load does."""
     path = file_feeds.write_futures_files(spark, sf_dir)
-    return shown(exchange_files.read_exchange_futures(spark, path, glob="part-*"))
+    return _without_source(exchange_files.read_exchange_futures(spark, path, store=lambda df, name, **_: staged(df, name)))
 
 
 def futures_files(spark, sf_dir):
-    path = file_feeds.write_futures_files(spark, sf_dir)
-    return shown(exchange_files.read_exchange_futures(
-        spark, f"{path}/feed_file={V.FUTURES_FILE_PATTERN}*", glob=None
-    ))
+    return _without_source(exchange_files.read_exchange_futures(spark, file_feeds.write_futures_files(spark, sf_dir)))
 
 
 def assessment_files(spark, sf_dir):
     path = file_feeds.write_assessor_files(spark, sf_dir, "assessments")
-    df = assessor_xml.read_assessor(
-        spark, f"{path}/feed_file=*{V.ASSESSMENT_FILE_MARK}*", "assessments", glob=None
-    )
-    return shown(df)
+    return shown(assessor_xml.read_assessor(spark, path, "assessments"))
 
 
 def assessment_search(spark, sf_dir):
@@ -628,9 +626,7 @@ def assessment_search(spark, sf_dir):
 
 def index_files(spark, sf_dir):
     path = file_feeds.write_assessor_files(spark, sf_dir, "indices")
-    return shown(assessor_xml.read_assessor(
-        spark, f"{path}/feed_file=*{V.INDEX_FILE_MARK}*", "indices", glob=None
-    ))
+    return shown(assessor_xml.read_assessor(spark, path, "indices"))
 
 
 def index_search(spark, sf_dir):
@@ -642,7 +638,7 @@ def index_search(spark, sf_dir):
 
 def entry_counts(spark, sf_dir):
     path = file_feeds.write_assessor_files(spark, sf_dir, "indices")
-    counts = assessor_xml.entry_counts(spark, f"{path}/feed_file=*", glob=None)
+    counts = assessor_xml.entry_counts(spark, path)
     month = F.regexp_extract("file_path", r"indices_(\d{4}-\d{2})\.xml", 1)
     return shown(counts.withColumn("month", month).drop("file_path"))
 
@@ -669,6 +665,71 @@ def missing_feeds(spark, sf_dir):
     return shown(coverage.feed_coverage(expected, landed))
 
 
+def missing_feed_files(spark, sf_dir):
+    """Days, hubs and products without a landed file, from the files that lie in the landing folders."""
+    root = new_folder(spark, "landing")
+    folder = landing.landing_path(root, "2024-01-31", "exchange")
+    file_feeds.write_spot_files(spark, sf_dir, f"{folder}/spot")
+    file_feeds.write_futures_files(spark, sf_dir, f"{folder}/futures")
+    feeds = coverage.landed_exchange_feeds(landing.landed_files(spark, root, "exchange"))
+    bounds = _landed(spark, sf_dir).agg(F.min("pub_date").alias("first_day"), F.max("pub_date").alias("last_day"))
+    return shown(coverage.feed_coverage(coverage.expected_feeds(coverage.days_between(bounds)), feeds))
+
+
+# --- loads -----------------------------------------------------------------------------------
+
+def _loaded(spark, name, load) -> DataFrame:
+    """Counters of a repeated load, with what its tables hold after both runs."""
+    folder = new_folder(spark, f"{name}-warehouse")
+    warehouse = jobs.Warehouse(f"{folder}/silver", f"{folder}/gold")
+    load(warehouse)
+    counters = load(warehouse)
+    stored = report.stage_metrics(
+        table_rows=tables.read_table(spark, warehouse.quotes(name)),
+        quarantine_rows=tables.read_table(spark, warehouse.quarantine(name)),
+    )
+    return counters.unionByName(stored)
+
+
+def load_internal(spark, sf_dir):
+    path = new_folder(spark, "internal-landed")
+    rows = by_year_start(feed(spark, sf_dir, "raw_internal"))
+    rows.withColumn("last_update", F.col("last_update").cast("timestamp")).write.parquet(path)
+    return _loaded(spark, "internal", lambda warehouse: jobs.load_internal(spark, path, warehouse))
+
+
+def load_exchange(spark, sf_dir):
+    path = new_folder(spark, "exchange-landed")
+    file_feeds.write_spot_files(spark, sf_dir, f"{path}/spot")
+    file_feeds.write_futures_files(spark, sf_dir, f"{path}/futures")
+    folders = [f"{path}/spot", f"{path}/futures"]
+    return _loaded(spark, "exchange", lambda warehouse: jobs.load_exchange(spark, folders, warehouse, EXCHANGE_SOURCE))
+
+
+def load_assessor(spark, sf_dir):
+    path = new_folder(spark, "assessor-landed")
+    for kind, name in (("assessments", "raw_assessments"), ("indices", "raw_indices")):
+        file_feeds.write_assessor_files(spark, sf_dir, kind, f"{path}/{kind}", by_year_start(feed(spark, sf_dir, name)))
+    folders = [f"{path}/assessments", f"{path}/indices"]
+    return _loaded(spark, "assessor", lambda warehouse: jobs.load_assessor(spark, folders, warehouse, ASSESSOR_SOURCE))
+
+
+def by_year_start(rows: DataFrame) -> DataFrame:
+    """The test tables are thin: quotes are published on the first day of their year, so that tables have few partitions."""
+    kind = rows.schema["pub_date"].dataType.simpleString()
+    return rows.withColumn("pub_date", F.trunc(F.col("pub_date").cast("date"), "year").cast(kind))
+
+
+def load_incremental(spark, sf_dir):
+    """Spot files land first, futures files a day later; each run of the job loads what is new."""
+    folder = new_folder(spark, "incremental")
+    warehouse = jobs.Warehouse(f"{folder}/silver", f"{folder}/gold")
+    for day, write in (("2024-01-30", file_feeds.write_spot_files), ("2024-01-31", file_feeds.write_futures_files)):
+        write(spark, sf_dir, landing.landing_path(f"{folder}/landing", day, "exchange"))
+        jobs.load_new(spark, "exchange", f"{folder}/landing", warehouse, "exchange", EXCHANGE_SOURCE)
+    return shown(tables.read_table(spark, warehouse.quotes("exchange")).select(*QUOTE_COLUMNS))
+
+
 def rolling_window(spark, sf_dir):
     rows = feed(spark, sf_dir, "raw_internal")
     end = report.latest_pub_date(rows).scalar()
@@ -735,6 +796,7 @@ QUERIES: dict[str, Query] = {
             exported_report, exported_comparison, landed_internal, spot_files,
             spot_files_by_split, futures_files, futures_files_by_split, assessment_files,
             assessment_search, index_files, index_search, entry_counts, all_days, missing_feeds,
+            missing_feed_files, load_internal, load_exchange, load_assessor, load_incremental,
             rolling_window, latest_version, internal_extract,
         )
     },

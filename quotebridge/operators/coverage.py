@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotebridge import fixed_values as V
-from quotebridge.functions.text import literal_array
+from quotebridge.functions.text import literal_array, token
 
 FEED_KEY = ["pub_date", "hub", "product"]
 
@@ -43,6 +43,18 @@ def feed_coverage(expected: DataFrame, landed: DataFrame) -> DataFrame:
     return expected.join(landed.select(*FEED_KEY).distinct(), FEED_KEY, "left_anti")
 
 
+def landed_exchange_feeds(files: DataFrame) -> DataFrame:
+    """(pub_date, hub, product) of landed exchange result files, from their names ``<kind>_<hub>_<yyyymmdd>.csv``."""
+    name = F.col("file_name")
+    product = F.when(name.startswith(V.SPOT_FILE_PATTERN), V.EXCHANGE_PRODUCTS[0]).when(
+        name.startswith(V.FUTURES_FILE_PATTERN), V.EXCHANGE_PRODUCTS[1]
+    )
+    day = F.try_to_timestamp(F.regexp_extract(name, r"_([0-9]{8})[^_]*$", 1), F.lit("yyyyMMdd")).cast("date")
+    return files.filter(name.contains(V.RESULT_FILE_MARK)).select(
+        day.alias("pub_date"), F.lower(token(name, "_", -2)).alias("hub"), product.alias("product")
+    ).filter(F.col("pub_date").isNotNull() & F.col("product").isNotNull())
+
+
 def rolling_window(
     df: DataFrame, end: date | Column, column: str = "pub_date", days: int = V.DAYS_TO_RETRIEVE
 ) -> DataFrame:

@@ -1,6 +1,6 @@
 """Projections, unions and row validation around the canonical quote."""
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quotebridge.functions.prices import price_key
-from quotebridge.schema import QUOTE, REQUIRED_QUOTE_COLUMNS
+from quotebridge.schema import KEY_PARTS, QUOTE, REQUIRED_QUOTE_COLUMNS
 
 
 def with_computed(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
@@ -24,8 +24,8 @@ def with_computed(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     return df.select(*[F.col(c) for c in kept], F.inline(F.array(row)))
 
 
-def to_canonical(df: DataFrame) -> DataFrame:
-    """Project to the 20 canonical columns and types, building the price key if absent.
+def to_canonical(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Project to the 20 canonical columns and types, building the price key if absent, and what is to be kept beside them.
 
     Columns the supplier does not deliver become NULL (never NaN).
     """
@@ -34,7 +34,7 @@ def to_canonical(df: DataFrame) -> DataFrame:
     return keyed.select(*[
         (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
         for f in QUOTE
-    ])
+    ], *keep)
 
 
 def with_ingestion_ts(df: DataFrame) -> DataFrame:
@@ -54,17 +54,28 @@ def is_complete() -> Column:
     return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in REQUIRED_QUOTE_COLUMNS])
 
 
+def has_plain_key() -> Column:
+    """No part of the key holds the '/' that parts its parts, so the key can be taken apart again."""
+    parts = F.length("price_uk") - F.length(F.replace("price_uk", F.lit("/"), F.lit(""))) + 1
+    return F.coalesce(parts == len(KEY_PARTS), F.lit(True))
+
+
+def is_valid() -> Column:
+    return is_complete() & has_plain_key()
+
+
 def valid_quotes(df: DataFrame) -> DataFrame:
-    """Quotes with every required field present."""
-    return df.filter(is_complete())
+    """Quotes with every required field present and a key that can be taken apart."""
+    return df.filter(is_valid())
 
 
 def quarantine(df: DataFrame) -> DataFrame:
-    """Quotes that miss a required field, with the list of missing fields."""
-    missing = F.array_compact(
-        F.array(*[F.when(F.col(c).isNull(), c) for c in REQUIRED_QUOTE_COLUMNS])
-    )
-    return df.filter(~is_complete()).withColumn("missing_fields", F.array_join(missing, ","))
+    """Quotes that miss a required field, or hold a '/' in a key part, with the list of missing fields and such parts."""
+    missing = [F.when(F.col(c).isNull(), c) for c in REQUIRED_QUOTE_COLUMNS]
+    slashed = [
+        F.when(F.col(c).contains("/") & ~has_plain_key(), f"{c} holds /") for c in KEY_PARTS if not c.endswith("_date")
+    ]
+    return df.filter(~is_valid()).withColumn("missing_fields", F.array_join(F.array_compact(F.array(*missing, *slashed)), ","))
 
 
 def union_present(

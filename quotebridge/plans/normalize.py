@@ -4,6 +4,8 @@
 ``shaping.quarantine`` can show what is incomplete; ``normalize_*`` return the quotes.
 """
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -121,12 +123,34 @@ def _exchange_dates() -> dict[str, Column]:
     }
 
 
-def normalize_spot(lines: DataFrame) -> DataFrame:
-    """Priced spot lines in exchange columns; a text that is no number is no price."""
+#: What a judged line keeps of its file.
+SOURCE = ["source_file", "source_line"]
+OUT_OF_SCOPE, NO_PRICE, BAD_PRICE, BAD_LINE = "out of scope", "no price", "price", "line"
+#: Lines that are left out in silence; the other reasons are reported.
+RULED_OUT = [OUT_OF_SCOPE, NO_PRICE]
+
+
+def _judged(lines: DataFrame, in_scope: Column, broken: Column) -> DataFrame:
+    """Adds ``price`` and ``reason``: why a line gives no quote, null if it does."""
+    priced = F.trim(F.coalesce("price_mid", F.lit(""))) != ""
+    malformed = F.coalesce("malformed", F.lit(False)) if "malformed" in lines.columns else F.lit(False)
+    reason = (
+        F.when(~_holds(in_scope), OUT_OF_SCOPE)
+        .when(priced & F.col("price").isNull(), BAD_PRICE)
+        .when(broken | malformed, BAD_LINE)
+        .when(~priced, NO_PRICE)
+    )
+    return with_computed(with_computed(lines, {"price": parse_price(F.col("price_mid"))}), {"reason": reason}).withColumns({
+        c: F.lit(None).cast("string") for c in SOURCE if c not in lines.columns
+    })
+
+
+def judged_spot(lines: DataFrame) -> DataFrame:
+    """Spot lines in exchange columns, with the reason why a line gives no quote."""
     rel = X.spot_period_rel(F.col("product_name"))
+    broken = F.col("product_name").isNull() | F.col("end_date").isNull()
     return (
-        with_computed(lines, {"price": parse_price(F.col("price_mid"))})
-        .filter(F.col("price").isNotNull())
+        _judged(lines, F.lit(True), broken)
         .withColumns(_exchange_dates())
         .select(
             F.lit(V.SPOT).alias("product_type"),
@@ -141,19 +165,24 @@ def normalize_spot(lines: DataFrame) -> DataFrame:
             F.col("price").alias("price_mid"),
             "price_unit",
             "src_last_update",
+            "reason",
+            *SOURCE,
         )
     )
 
 
-def normalize_futures(lines: DataFrame) -> DataFrame:
-    """Complete, in-scope settlement lines in exchange columns."""
+def judged_futures(lines: DataFrame) -> DataFrame:
+    """Settlement lines in exchange columns, with the reason why a line gives no quote."""
     product = F.col("product_name")
+    in_scope = (
+        (F.col("idx_code") == V.FUTURES_CODE)
+        & ~_holds(F.lower(product).contains(V.FUTURES_OUT_OF_SCOPE))
+        & ~_holds(product.startswith(V.FUTURES_REPEAT_PREFIX))
+    )
+    needed = [c for c in lines.columns if c not in ("price_mid", "malformed", "idx_code", *SOURCE)]
+    broken = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in needed])
     return (
-        with_computed(lines.na.drop("any"), {"price": parse_price(F.col("price_mid"))})
-        .filter(F.col("price").isNotNull())
-        .filter(F.col("idx_code") == V.FUTURES_CODE)
-        .filter(~F.lower(product).contains(V.FUTURES_OUT_OF_SCOPE))
-        .filter(~product.startswith(V.FUTURES_REPEAT_PREFIX))
+        _judged(lines, in_scope, broken)
         .withColumns(_exchange_dates())
         .select(
             F.lit(V.FUTURES).alias("product_type"),
@@ -168,18 +197,29 @@ def normalize_futures(lines: DataFrame) -> DataFrame:
             F.col("price").alias("price_mid"),
             "price_unit",
             "src_last_update",
+            "reason",
+            *SOURCE,
         )
     )
 
 
-def unreadable_lines(lines: DataFrame) -> DataFrame:
-    """Exchange lines that hold a price text which is no number, or lack a product or its dates."""
-    priced = F.trim(F.coalesce("price_mid", F.lit(""))) != ""
-    broken = F.col("product_name").isNull() | F.col("start_date").isNull() | F.col("end_date").isNull()
-    reason = F.when(priced & parse_price(F.col("price_mid")).isNull(), "price").when(broken, "line")
-    return lines.withColumn("missing_fields", reason).filter(F.col("missing_fields").isNotNull()).select(
-        "product_name", "location_name", "pub_date", "price_mid", "missing_fields"
-    )
+def _accepted(judged: DataFrame) -> DataFrame:
+    return judged.filter(F.col("reason").isNull()).drop("reason", *SOURCE)
+
+
+def normalize_spot(lines: DataFrame) -> DataFrame:
+    """Priced spot lines in exchange columns; a text that is no number is no price."""
+    return _accepted(judged_spot(lines))
+
+
+def normalize_futures(lines: DataFrame) -> DataFrame:
+    """Complete, in-scope settlement lines in exchange columns."""
+    return _accepted(judged_futures(lines))
+
+
+def unreadable(judged: DataFrame) -> DataFrame:
+    """Judged lines in scope that hold a price text which is no number, or lack columns: file, line and reason."""
+    return judged.filter(_holds(F.col("reason").isin(BAD_PRICE, BAD_LINE)))
 
 
 EXCHANGE_ROW = T.StructType([
@@ -210,18 +250,26 @@ def exchange_rows(
         ],
         EXCHANGE_ROW,
     )
-    units = with_computed(both, {
+    return to_canonical(_with_units(both, data_source))
+
+
+def _with_units(rows: DataFrame, data_source: str) -> DataFrame:
+    units = with_computed(rows, {
         "currency": X.currency(F.col("price_unit")),
         "unit": X.unit(F.col("price_unit")),
     })
-    return to_canonical(
-        units.withColumns({
-            "publication_name": F.lit(V.EXCHANGE_PUBLICATION),
-            "data_source": F.lit(data_source),
-            "commodity_type": F.lit(V.COMMODITY),
-            "src_price_id": F.lit(""),
-        })
-    )
+    return units.withColumns({
+        "publication_name": F.lit(V.EXCHANGE_PUBLICATION),
+        "data_source": F.lit(data_source),
+        "commodity_type": F.lit(V.COMMODITY),
+        "src_price_id": F.lit(""),
+    })
+
+
+def judged_exchange(spot: DataFrame, futures: DataFrame, data_source: str) -> DataFrame:
+    """All spot and futures lines with key and canonical columns, ``reason`` and what they came from."""
+    judged = _with_units(judged_spot(spot).unionByName(judged_futures(futures)), data_source)
+    return to_canonical(judged, ["reason", *SOURCE])
 
 
 def normalize_exchange(

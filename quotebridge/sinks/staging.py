@@ -23,8 +23,8 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def _stored(df: DataFrame, path: str) -> DataFrame:
-    df.hint("rebalance").write.parquet(path)
+def _stored(df: DataFrame, path: str, spread: bool = True) -> DataFrame:
+    (df.hint("rebalance") if spread else df).write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
@@ -43,12 +43,16 @@ def remove_folder(spark: SparkSession, path: str) -> None:
 
 @contextmanager
 def stages(spark: SparkSession) -> Iterator:
-    """``with stages(spark) as stage: df = stage(df, "name")``: staged tables that go when the job ends."""
+    """``with stages(spark) as stage: df = stage(df, "name")``: staged tables that go when the job ends.
+
+    Rows that are observed are stored with ``spread=False``: the writing tasks themselves are then observed. Spark counts
+    each of those once, whereas a task before a shuffle counts again when a lost executor makes it run again.
+    """
     paths: list[str] = []
 
-    def stage(df: DataFrame, name: str = "stage") -> DataFrame:
+    def stage(df: DataFrame, name: str = "stage", spread: bool = True) -> DataFrame:
         paths.append(new_folder(spark, name))
-        return _stored(df, paths[-1])
+        return _stored(df, paths[-1], spread)
 
     try:
         yield stage

@@ -12,6 +12,7 @@ not; running the same merge again gives the intended state, as every merge mode
 import uuid
 from collections.abc import Sequence
 from datetime import date
+from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -134,6 +135,11 @@ def write_history(changes: DataFrame, path: str, version: int) -> None:
     )
 
 
+def replace_load(df: DataFrame, path: str, load_id: str) -> None:
+    """Store the rows of one load in its own partition ``load_id``; the same load again replaces them, also by none."""
+    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/load_id={quote(load_id, safe='')}")
+
+
 def small_file_partitions(
     spark: SparkSession, path: str, partition: str = PARTITION, file_bytes: int = 128 * 1024 * 1024
 ) -> DataFrame:

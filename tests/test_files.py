@@ -172,16 +172,52 @@ def test_unreadable_spot_prices(spark, tmp_path):
     (tmp_path / "GasSpotMarketResults_TTF_1.csv").write_text(bad)
     lines = exchange_files.read_exchange_spot(spark, str(tmp_path))
     assert sorted(r.price_mid for r in N.normalize_spot(lines).collect()) == [84.1234, 85.5]
-    assert sorted(r.missing_fields for r in N.unreadable_lines(lines).collect()) == ["line", "price"]
+    found = {r.reason: r for r in N.unreadable(N.judged_spot(lines)).collect()}
+    assert sorted(found) == ["line", "price"]
+    assert found["line"].source_line == "SP;PEG" and found["line"].source_file.endswith("GasSpotMarketResults_TTF_1.csv")
 
 
 @pytest.mark.parametrize(("xml", "text"), [
     ("<a>x &amp; y</a>", "x & y"), ("<a><![CDATA[x < &amp; y]]></a>", "x < &amp; y"), ("<a>caf&#233; &#x26; &#8364;</a>", "café & €"),
     ("<a>before<b>nested</b></a>", "before"), ("<a></a><a>later</a>", None), ("<a/><a>later</a>", None), ('<a n="1">x</a>', "x"),
-    ("<ab>x</ab>", None), ("<a>1 &# 2</a>", "1 &# 2"),
-])
+    ("<ab>x</ab>", None), ("<a>1 &# 2</a>", "1 &# 2"), ("<a>" + "x" * 1_000_000 + "</a>", "x" * 1_000_000),
+    ("<a>&#38;lt;</a>", "&lt;"), ("<a>&amp;amp; & &foo; &</a>", "&amp; & &foo; &"), ("<a>&#9999999;</a>", "&#9999999;"),
+    ("<a>&#xD800; &#0; &#x110000;</a>", "&#xD800; &#0; &#x110000;"), ("<a>&#x1F600;&#0000000065;</a>", "😀A"),
+    ("<a>p&lt;<![CDATA[q&lt;]]>r&gt;<b/>s<![CDATA[t]]></a>", "p<q&lt;r>"), ("<a>x<b><![CDATA[t]]></b></a>", "x"),
+    ("<a><![CDATA[open", "open"), ("<a>" + "t&amp;<![CDATA[<&]]>" * 2000 + "</a>", "t&<&" * 2000), ("<a " + "b" * 300_000 + ">k</a>", "k"),
+    ("<a>" + "&lt;" * 100_000 + "</a>", "<" * 100_000), ("<a/><a><![CDATA[later]]></a>", None),
+], ids=lambda value: str(value)[:20])
 def test_tag_text(spark, xml, text):
     from pyspark.sql import functions as F
 
     df = spark.createDataFrame([(xml,)], "x string")
     assert df.select(assessor_xml.tag_text(F.col("x"), "a").alias("t")).first().t == text
+
+
+def test_out_of_scope_futures_are_not_broken(spark, tmp_path):
+    """Only lines in scope are judged: a short line of another code is left out in silence."""
+    bad = FUTURES + "OT;x;y\nPR;x;EEX TTF Natural Gas Month Futures\n"
+    (tmp_path / "GasFutureMarketResults_TTF_20211026.csv").write_text(bad)
+    judged = N.judged_futures(exchange_files.read_exchange_futures(spark, str(tmp_path)))
+    assert sorted(str(r.reason) for r in judged.collect()) == [
+        "None", "line", "no price", "out of scope", "out of scope", "out of scope", "out of scope"
+    ]
+    assert [r.source_line for r in N.unreadable(judged).collect()] == ["PR;x;EEX TTF Natural Gas Month Futures"]
+
+
+def test_landed_files_and_feeds(spark, tmp_path):
+    from quotebridge.operators import coverage
+
+    folder = tmp_path / "ingest_date=2021-10-27" / "source=exchange"
+    folder.mkdir(parents=True)
+    for name in ("GasSpotMarketResults_TTF_20211026.csv", "GasFutureMarketResults_TTF_20211026.csv", "GasSpotMarketResults_x.csv", "other.csv"):
+        (folder / name).write_text("12345")
+    files = landing.landed_files(spark, str(tmp_path))
+    assert {(r.file_name, r.file_bytes, str(r.ingest_date), r.source) for r in files.collect()} >= {("other.csv", 5, "2021-10-27", "exchange")}
+    feeds = coverage.landed_exchange_feeds(landing.landed_files(spark, str(tmp_path), "exchange"))
+    assert sorted((str(r.pub_date), r.hub, r["product"]) for r in feeds.collect()) == [
+        ("2021-10-26", "ttf", "derivatives"), ("2021-10-26", "ttf", "spot")
+    ]
+    assert landing.landing_paths("/l", "s", date(2021, 1, 31), date(2021, 2, 1)) == [
+        "/l/ingest_date=2021-01-31/source=s", "/l/ingest_date=2021-02-01/source=s"
+    ]

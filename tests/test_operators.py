@@ -293,3 +293,101 @@ def test_jobs_end_to_end(spark, tmp_path):
     stored = spark.sql("SELECT count(*) AS n FROM checked_processed.exchange_prices").first().n
     assert stored == 3 and spark.table("checked_exposed.compared_prices").count() == 1
     assert merge.as_of(history, ["endur_price_uk", "ext_price_uk"], 0).count() == 1
+
+
+def _landed(tmp_path, day="2021-10-27"):
+    from tests.test_files import ASSESSMENTS, FUTURES, INDICES, SPOT
+
+    folder = tmp_path / "landing" / f"ingest_date={day}" / "source=files"
+    folder.mkdir(parents=True)
+    spot = SPOT + "SP;TTF/NBP;TTF DAY AHEAD;2021-10-27;2021-10-28;80;EUR/MWh\nSP;PEG;PEG DAY AHEAD;2021-10-27;2021-10-28;n/a;EUR/MWh\nSP;PEG\n"
+    stamp = day.replace("-", "")
+    (folder / f"GasSpotMarketResults_TTF_{stamp}.csv").write_text(spot)
+    (folder / f"GasFutureMarketResults_TTF_{stamp}.csv").write_text(FUTURES)
+    (folder / "a_assessments.xml").write_text(ASSESSMENTS)
+    (folder / "a_indices.xml").write_text(INDICES)
+    return str(tmp_path / "landing"), folder
+
+
+def test_quarantine_holds_file_line_and_reason_once(spark, tmp_path):
+    """A key with '/' in a part, a text price and a short line are set aside; a repeat of the load replaces them."""
+    _, folder = _landed(tmp_path)
+    warehouse = jobs.Warehouse(str(tmp_path / "silver"), str(tmp_path / "gold"))
+    for _ in range(2):
+        counters = {r.stage: r.no_rows for r in jobs.load_exchange(spark, str(folder), warehouse, "X").collect()}
+        assert counters == {"loaded": 11, "ruled_out": 5, "unreadable": 2, "quarantined": 3, "duplicates": 0, "stored": 3}
+        found = tables.read_table(spark, warehouse.quarantine("exchange")).collect()
+        assert sorted((r.missing_fields, r.source_line.split(";")[1]) for r in found) == [
+            ("line", "PEG"), ("location_name holds /", "TTF/NBP"), ("price", "PEG")
+        ]
+        assert tables.read_table(spark, warehouse.quotes("exchange")).count() == 3
+    (folder / "GasSpotMarketResults_TTF_20211027.csv").unlink()
+    jobs.load_exchange(spark, str(folder), warehouse, "X")
+    assert tables.read_table(spark, warehouse.quarantine("exchange")).count() == 0
+
+
+@pytest.mark.parametrize("supplier", ["internal", "exchange", "assessor"])
+def test_a_load_reads_its_feed_once(spark, tmp_path, monkeypatch, supplier):
+    """The feed is deleted as soon as all of it has been stored: nothing asks for it again."""
+    import shutil
+    from contextlib import contextmanager
+
+    _, folder = _landed(tmp_path)
+    landed = str(folder)
+    last = {"exchange": "futures-lines"}.get(supplier, f"{supplier}-rows")
+    if supplier == "internal":
+        landed = str(tmp_path / "internal")
+        feed(spark, SF, "raw_internal").withColumn("last_update", F.col("last_update").cast("timestamp")).write.parquet(landed)
+    original = jobs.stages
+
+    @contextmanager
+    def watched(session):
+        with original(session) as stage:
+            def stored(df, name, **options):
+                found = stage(df, name, **options)
+                if name == last:
+                    shutil.rmtree(landed)
+                return found
+            yield stored
+
+    monkeypatch.setattr(jobs, "stages", watched)
+    warehouse = jobs.Warehouse(str(tmp_path / "silver"), str(tmp_path / "gold"))
+    run = {
+        "internal": lambda: jobs.load_internal(spark, landed, warehouse),
+        "exchange": lambda: jobs.load_exchange(spark, landed, warehouse, "X"),
+        "assessor": lambda: jobs.load_assessor(spark, landed, warehouse, "X"),
+    }[supplier]
+    n = {r.stage: r.no_rows for r in run().collect()}
+    assert n["loaded"] == n["ruled_out"] + n["quarantined"] + n["duplicates"] + n["stored"] and n["stored"] > 0
+
+
+def test_only_new_files_are_loaded(spark, tmp_path):
+    warehouse = jobs.Warehouse(str(tmp_path / "silver"), str(tmp_path / "gold"))
+
+    def run(supplier):
+        return {r.stage: r.no_rows for r in jobs.load_new(spark, supplier, root, warehouse, "files", "X").collect()}
+
+    root, folder = _landed(tmp_path)
+    first = {s: run(s) for s in ("exchange", "assessor")}
+    assert first["exchange"]["loaded"] == 11 and first["exchange"]["stored"] == 3 and first["assessor"]["loaded"] == 7
+    for file in folder.iterdir():  # what was loaded is not read again
+        file.unlink()
+    assert run("exchange") == {} and run("assessor") == {}
+    _landed(tmp_path, "2021-10-28")
+    assert run("exchange")["loaded"] == 11
+    assert tables.read_table(spark, warehouse.quotes("exchange")).count() == 3
+    assert tables.read_table(spark, warehouse.quarantine("exchange")).groupBy("load_id").count().count() == 2
+    landed = f"{root}/ingest_date=2021-10-28/source=internal"
+    raw = feed(spark, SF, "raw_internal").withColumn("last_update", F.col("last_update").cast("timestamp"))
+    raw.write.parquet(landed)
+    counters = {r.stage: r.no_rows for r in jobs.load_new(spark, "internal", root, warehouse, "internal").collect()}
+    assert counters["loaded"] == raw.count()
+    assert counters["stored"] == tables.read_table(spark, warehouse.quotes("internal")).count() > 0
+    with pytest.raises(ValueError, match="supplier"):
+        jobs.load_new(spark, "other", root, warehouse, "files")
+
+
+def test_window_ends_at_the_given_day(spark):
+    days = spark.createDataFrame([("2021-10-26",), ("2021-10-25",), ("2021-10-24",), ("2021-10-28",), ("x",)], "pub_date string")
+    assert sorted(r.pub_date for r in jobs.recent(days, 2, date(2021, 10, 26)).collect()) == ["2021-10-25", "2021-10-26"]
+    assert jobs.recent(days, None).count() == 5
