@@ -32,6 +32,8 @@ from quotebridge.llm.common import raw_texts, small_side, staged
 ORDER = 4
 ARRAY_ROWS = 1_000_000
 WIDTH, FLOOR = 5.0, 0.1
+#: Decimals of the grid on which the medians of the bands are taken.
+GRID = 3
 MIN_WORDS, REPEATED_PERCENT, WINDOW = 10, 20, 5
 SYMBOLS = b"#*$%&|<>"
 PUNCTUATION = string.punctuation.encode()
@@ -130,7 +132,7 @@ def gram_counts(docs: DataFrame) -> DataFrame:
 def _discounts(level: DataFrame) -> DataFrame:
     """Modified Kneser-Ney discounts d1, d2, d3 of a level, per language."""
     seen = level.groupBy("lang").agg(*[F.count_if(F.col("n") == i).alias(f"n{i}") for i in (1, 2, 3, 4)])
-    y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
+    y = F.try_divide(F.col("n1"), F.col("n1") + 2 * F.col("n2"))  # null where every gram occurs three times or more
 
     def discount(i: int):
         value = F.lit(i) - (i + 1) * y * F.try_divide(F.col(f"n{i + 1}"), F.col(f"n{i}"))
@@ -339,15 +341,23 @@ def rated(docs: DataFrame, arrays: Arrays, rest: DataFrame, carry: list[str]) ->
     return joined.withColumn("loss", loss).drop("key", "other")
 
 
+def medians(values: DataFrame, value: Column, name: str) -> DataFrame:
+    """(lang, name): the exact median, per language, of values on a fixed grid; the same in every run.
+
+    Values are counted per grid point first, so what one task orders are the grid points in use.
+    """
+    counted = values.select("lang", F.round(value, GRID).alias("point")).groupBy("lang", "point").agg(F.count("*").alias("n"))
+    return counted.groupBy("lang").agg(F.percentile("point", 0.5, F.col("n")).alias(name))
+
+
 def judged(scores: DataFrame) -> DataFrame:
     """The ``rated`` rows with kept, lower and upper: inside the band of their language, and no base rule failed."""
     usable = scores.where("NOT base_failed AND loss IS NOT NULL")
-    middle = small_side(staged(usable.groupBy("lang").agg(F.percentile_approx("loss", 0.5, 10_000).alias("middle")), "middles"))
+    middle = small_side(staged(medians(usable, F.col("loss"), "middle"), "middles"))
     root = F.sqrt("n_lexical")
-    spread = usable.join(middle, "lang").groupBy("lang", "middle").agg(
-        (1.4826 * F.percentile_approx(F.abs(F.col("loss") - F.col("middle")) * root, 0.5, 10_000)).alias("spread")
-    )
-    bands = small_side(staged(spread, "bands"))
+    apart = usable.join(middle, "lang")
+    spread = medians(apart, F.abs(F.col("loss") - F.col("middle")) * root, "apart").select("lang", (1.4826 * F.col("apart")).alias("spread"))
+    bands = small_side(staged(middle.join(spread, "lang"), "bands"))
     half = WIDTH * F.greatest(F.lit(FLOOR), F.col("spread") / root)
     banded = scores.join(bands, "lang", "left").withColumn("lower", F.col("middle") - half).withColumn("upper", F.col("middle") + half)
     inside = F.coalesce(F.col("loss").between(F.col("lower"), F.col("upper")), F.lit(True))

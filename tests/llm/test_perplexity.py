@@ -145,3 +145,27 @@ def test_losses_do_not_depend_on_what_is_broadcast(spark, monkeypatch, rows):
         total = -sum(math.log(models[lang](tuple(units[k:k + 4]))) for k in range(len(units) - 3))
         words = max(1, len(re.sub(r"[!-/:-@\[-`{-~]", "", text).split()))
         assert math.isclose(got[i, lang], total / words, rel_tol=1e-4)
+
+
+@pytest.mark.parametrize("rows", [0, 10_000])
+def test_language_whose_grams_all_repeat(spark, rows):
+    """No gram occurs once or twice: the discounts then have their defaults, as in the brute-force model."""
+    docs = [(1, "a" * 40, "xx"), (2, "a" * 40, "xx"), (3, "b", "yy"), (4, "plain words of another tongue", "en")]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    got = {r.doc_id: r.loss for r in perplexity.verdicts(df, rows).collect()}
+    probability = brute_model(["a" * 40, "a" * 40])
+    units = perplexity.units(("a" * 40).encode()).tolist()
+    want = -sum(math.log(probability(tuple(units[k:k + 4]))) for k in range(len(units) - 3))
+    assert math.isclose(got[1], want, rel_tol=1e-4) and got[1] == got[2] and set(got) == {1, 2, 3, 4}
+    assert perplexity.accepted(df, rows).collect() == []
+
+
+def test_medians_are_exact_on_the_grid(spark):
+    draw = random.Random(6)
+    values = [(draw.choice("ab"), draw.random() * 3) for _ in range(501)]
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame(values, "lang string, x double")
+    for row in perplexity.medians(df, F.col("x"), "m").collect():
+        own = sorted(round(x, 3) for lang, x in values if lang == row.lang)
+        assert math.isclose(row.m, (own[(len(own) - 1) // 2] + own[len(own) // 2]) / 2, abs_tol=1e-9)
