@@ -6,7 +6,7 @@ words that were never seen before. Each of the four kinds counts as shares of it
 logistic function of a sparse dot product plus a bias.
 
 Fitting uses at most ``SAMPLE`` labelled documents, those of the smallest hash of doc_id; only their ids are broadcast. The
-sample is dealt over ``PARTS`` tasks. In each epoch every task starts from the shared state and runs the per-coordinate
+sample is dealt over one task for each ``PART_ROWS`` of its bound. In each epoch every task starts from the shared state and runs the per-coordinate
 updates over its rows; Spark then averages, per coordinate, the states of the tasks that touched it. State and
 weights have ``WIDTH`` entries whatever the data, so the driver holds no more. All documents are scored.
 
@@ -28,12 +28,13 @@ from quotebridge.llm.common import raw_texts, staged
 
 WIDTH = 1 << 18
 SAMPLE = 20_000
-PARTS, EPOCHS = 8, 4
+#: Rows of a fitting task; the number of tasks follows the sample.
+PART_ROWS, EPOCHS = 2_500, 4
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 1e-4, 1e-3
 THRESHOLD = 0.7
 FOLDS, HELD_OUT = 4, 2
-#: Words that a task remembers the hashes of.
-REMEMBERED = 300_000
+#: Words that a task remembers the hashes of, and the longest of them; a longer word is hashed again where it occurs again.
+REMEMBERED, LONGEST = 300_000, 64
 
 RUNS = (
     (re.compile(rb"[a-z\x80-\xff]+"), b"a"), (re.compile(rb"[0-9]+"), b"0"), (re.compile(rb"([^a0])\1+"), rb"\1"),
@@ -46,10 +47,12 @@ class Places(dict):
     def __missing__(self, word: bytes) -> tuple[int, int]:
         if len(self) >= REMEMBERED:
             self.clear()
-        shape = word[:64]
+        shape = word
         for pattern, by in RUNS:
             shape = pattern.sub(by, shape)
-        self[word] = found = (xxhash.xxh32_intdigest(word), xxhash.xxh32_intdigest(shape, 1))
+        found = (xxhash.xxh32_intdigest(word), xxhash.xxh32_intdigest(shape, 1))
+        if len(word) <= LONGEST:
+            self[word] = found
         return found
 
 
@@ -94,6 +97,10 @@ def fold_of(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % FOLDS
 
 
+def parts_of(sample: int) -> int:
+    return max(1, -(-sample // PART_ROWS))
+
+
 def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """(part, place_in_part, label, at, values) of the sampled labelled documents, stored."""
     usable = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & (fold_of(F.col("doc_id")) != HELD_OUT))
@@ -120,10 +127,10 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> D
                 })
 
     rows = texts.select("id", "label", "text").mapInArrow(run, "id long, label double, at array<int>, vals array<double>")
-    return staged(rows.withColumn("part", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(PARTS)).cast("int")), "training-rows")
+    return staged(rows.withColumn("part", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(parts_of(sample))).cast("int")), "training-rows")
 
 
-def fitted(rows: DataFrame, epochs: int = EPOCHS) -> np.ndarray:
+def fitted(rows: DataFrame, epochs: int = EPOCHS, parts: int = 8) -> np.ndarray:
     """The weights; the last one is the bias."""
     spark = rows.sparkSession
     z, n = np.zeros(WIDTH + 1), np.zeros(WIDTH + 1)
@@ -143,7 +150,7 @@ def fitted(rows: DataFrame, epochs: int = EPOCHS) -> np.ndarray:
             yield pa.record_batch({"place": found, "z": z[found], "n": n[found]})
 
         order = F.xxhash64("id", F.lit(epoch + 2))
-        dealt = rows.repartition(PARTS, "part").sortWithinPartitions("part", order, "id")
+        dealt = rows.repartition(parts, "part").sortWithinPartitions("part", order, "id")
 
         def each(batches: Iterator[pa.RecordBatch], run=run) -> Iterator[pa.RecordBatch]:
             yield from run((), (b for b in batches if len(b)))
@@ -176,7 +183,7 @@ def scored(docs: DataFrame, found: np.ndarray) -> DataFrame:
 
 def classified(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, epochs: int = EPOCHS) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted."""
-    found = fitted(training_rows(docs, labels, sample), epochs)
+    found = fitted(training_rows(docs, labels, sample), epochs, parts_of(sample))
     return scored(docs, found).select(
         "doc_id", (fold_of(F.col("doc_id")) == HELD_OUT).alias("held_out"), "score",
         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
