@@ -55,14 +55,14 @@ def fingerprint(text: bytes, words: int = WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp long): the fingerprint's 64 bits as a signed number."""
+    """(doc_id, t: hash of the text, fp long): the fingerprint's 64 bits as a signed number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.fromiter(map(fingerprint, raw_texts(batch["text"])), np.uint64, len(batch))
-            yield pa.record_batch({"doc_id": batch["doc_id"], "fp": found.view(np.int64)})
+            yield pa.record_batch({"doc_id": batch["doc_id"], "t": batch["t"], "fp": found.view(np.int64)})
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("t"), "text").mapInArrow(run, "doc_id long, t long, fp long")
 
 
 def links(fps: DataFrame, list_size: int = LIST) -> DataFrame:
@@ -119,12 +119,23 @@ def near_duplicates(docs: DataFrame, list_size: int = LIST) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, list_size: int = LIST) -> DataFrame:
-    """The rows whose doc_id is the smallest of its component, all columns kept.
+    """One row of each component, all columns kept: that of the smallest doc_id, ids before nulls, then of the smallest text hash.
 
-    Components without any id are kept whole, as no row of them can be told from the others. Repeated rows of
-    the kept doc_id that share its text all stay: removing equal ids is not this operator's task.
+    The choice is made on ids and hashes. Texts are only shuffled where the chosen row itself is repeated.
     """
-    found = near_duplicates(docs.select("doc_id", "text"), list_size)
-    kept = small_side(staged(found.where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct(), "kept-ids"))
-    alone = docs.where("doc_id IS NULL")
-    return docs.join(kept, F.col("doc_id").cast("long") == F.col("__kept"), "left_semi").unionByName(alone)
+    prints = staged(fingerprints(docs.select("doc_id", "text")), "fingerprints")
+    labels = components(links(staged(prints.select("fp").distinct(), "distinct-fingerprints"), list_size))
+    rows = prints.groupBy("doc_id", "t", "fp").agg(F.count("*").alias("n"))
+    member = rows.join(labels, rows["fp"] == labels["node"], "left").select(F.coalesce("label", "fp").alias("label"), "doc_id", "t", "n")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t", "n"))
+    chosen = staged(member.groupBy("label").agg(first.alias("first")).select(
+        F.col("first.doc_id").alias("__id"), F.col("first.t").alias("__t"), F.col("first.n").alias("__n")
+    ), "chosen-rows")
+
+    def rows_of(condition: str) -> DataFrame:
+        wanted = small_side(chosen.where(condition))
+        own = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__t"))
+        return docs.join(wanted.select("__id", "__t"), own)
+
+    once = rows_of("__n = 1").select(*docs.columns)
+    return once.unionByName(rows_of("__n > 1").dropDuplicates(["__id", "__t"]).select(*docs.columns))

@@ -67,5 +67,16 @@ def test_one_of_each_component_stays(spark):
     df = spark.createDataFrame([(i, t, "x", "y") for i, t in rows], SCHEMA)
     kept = simhash.keep_one(df)
     assert kept.columns == df.columns
-    firsts = {r[2] for r in brute(rows)}
-    assert {r["doc_id"] for r in kept.collect() if r["doc_id"] is not None} == firsts - {None}
+    firsts = [r[2] for r in brute(rows)]
+    assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(set(map(str, firsts)))
+
+
+def test_one_row_stays_without_ids_and_with_repeated_ids(spark):
+    """Rows without an id go where their component has a row with one; of rows without any id one stays; a repeated id with
+    another text stays for its own component only."""
+    rows = [(1, "a b c d"), (None, "a b c d"), (None, "a b c d"), (None, "other words stand here now"), (None, "other words stand here now"),
+            (1, "quite another text with the same id"), (1, "quite another text with the same id"), (2, "quite another text with the same id")]
+    df = spark.createDataFrame([(i, t, "x", "y") for i, t in rows], SCHEMA)
+    kept = sorted(((r["doc_id"], r["text"]) for r in simhash.keep_one(df).collect()), key=str)
+    assert kept == sorted([(1, "a b c d"), (None, "other words stand here now"), (1, "quite another text with the same id")], key=str)
+    assert simhash.keep_one(df.where("false")).collect() == []
