@@ -1,9 +1,12 @@
+import math
 import random
 import zlib
 from collections import Counter, defaultdict
 
 import duckdb
+import numpy as np
 import pytest
+import xxhash
 
 from quotebridge.llm import classifier, mixing, sharding
 
@@ -127,6 +130,39 @@ def test_places_in_fine_buckets(spark, monkeypatch):
     assert all(sorted(p) == list(range(len(p))) for p in places.values())
 
 
+@pytest.mark.parametrize("texts", [1, 400])
+def test_one_id_in_half_the_rows_is_spread(spark, texts):
+    """Repeated ids, with one text or with many, and rows without id or text: shards stay near equal."""
+    draw = random.Random(4)
+    rows = [(7, "w " * (20 + i % texts)) for i in range(500)] + [(None, None)] * 200
+    rows += [(1000 + i, "w " * draw.randrange(1, 40)) for i in range(500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    sizes, places = Counter(), defaultdict(list)
+    for r in sharding.sharded(df, shards=8).collect():
+        sizes[r.shard] += r.size
+        places[r.shard].append(r.slot)
+    assert len(sizes) == 8 and max(sizes.values()) - min(sizes.values()) <= 900
+    assert all(sorted(p) == list(range(len(p))) for p in places.values())
+
+
+def test_second_run_edits_the_stored_map(spark, tmp_path):
+    """The latest stored version is read and edited: slots move only where the new sizes ask for it."""
+    path = str(tmp_path / "map")
+    rows = documents()
+    df = spark.createDataFrame(rows, SCHEMA)
+    first = {r.virtual_slot: r.shard for r in sharding.sharded(df, shards=5, slots=256, map_path=path).collect()}
+    versions = spark.read.parquet(path)
+    assert versions.groupBy("version").count().orderBy("version").collect() == [(1, 256), (2, 256)]
+    again = {r.virtual_slot: r.shard for r in sharding.sharded(df, shards=5, slots=256, map_path=path).collect()}
+    assert again == first and spark.read.parquet(path).agg({"version": "max"}).first()[0] == 2
+    more = df.unionByName(spark.createDataFrame([(5000 + i, "w " * 30, "en", "s", "d", "t") for i in range(40)], SCHEMA))
+    grown = {r.virtual_slot: (r.shard, r.map_version) for r in sharding.sharded(more, shards=5, slots=256, map_path=path).collect()}
+    assert {v for _, v in grown.values()} == {3}
+    assert 0 < sum(grown[s][0] != shard for s, shard in first.items()) < 40
+    sixth = {r.virtual_slot: r.shard for r in sharding.sharded(more, shards=6, slots=256, map_path=path).collect()}
+    assert {sixth[s] for s in grown if sixth[s] != grown[s][0]} >= {5}
+
+
 def test_an_edit_moves_few_slots_and_a_new_shard_is_filled():
     draw = random.Random(1)
     sizes = {s: draw.randrange(1, 1000) for s in range(512)}
@@ -172,6 +208,63 @@ def test_odd_documents_and_labels(spark):
     assert classifier.classified(docs.where("false"), labels).collect() == []
 
 
+def test_updates_as_scalar_loops():
+    """The vectorised step against the published per-coordinate rule, one number at a time."""
+    draw = random.Random(2)
+    size = 30
+    z, n = np.zeros(size), np.zeros(size)
+    zs, ns = [0.0] * size, [0.0] * size
+
+    def weight(i):
+        if abs(zs[i]) <= classifier.L1:
+            return 0.0
+        sign = 1 if zs[i] > 0 else -1
+        return -(zs[i] - sign * classifier.L1) / ((classifier.BETA + math.sqrt(ns[i])) / classifier.ALPHA + classifier.L2)
+
+    for _ in range(400):
+        at = draw.sample(range(size), draw.randrange(1, 12))
+        values, label = [draw.random() for _ in at], draw.choice([0.0, 1.0, 0.5])
+        classifier.update(z, n, np.array(at), np.array(values), label)
+        own = [weight(i) for i in at]
+        p = 1 / (1 + math.exp(-sum(w * v for w, v in zip(own, values))))
+        for i, v, w in zip(at, values, own):
+            g = (p - label) * v
+            sigma = (math.sqrt(ns[i] + g * g) - math.sqrt(ns[i])) / classifier.ALPHA
+            zs[i] += g - sigma * w
+            ns[i] += g * g
+    assert np.allclose(z, zs) and np.allclose(n, ns)
+    assert np.allclose(classifier.weights(z, n), [weight(i) for i in range(size)])
+
+
+def test_scores_as_dot_products_by_brute_force(spark):
+    """Features counted one by one in a dictionary, words of any length by all of their letters."""
+    texts = ["One two two 3 x1y22", "prose " * 40 + "a" * 80 + "7" * 30 + "#" * 9, "a" * 64 + "1" * 500, "", "é é É"]
+    draw = np.random.default_rng(1)
+    model = draw.normal(size=classifier.WIDTH + 1)
+
+    def mix(v):
+        v &= (1 << 64) - 1
+        v = ((v ^ (v >> 29)) * 0xBF58476D1CE4E5B9) & ((1 << 64) - 1)
+        return (v >> 32) % classifier.WIDTH
+
+    def shape(word):
+        kinds = ["a" if 97 <= b <= 122 or b >= 128 else "0" if 48 <= b <= 57 else chr(b) for b in word]
+        runs = [k for i, k in enumerate(kinds) if not i or kinds[i - 1] != k]
+        return xxhash.xxh32_intdigest("".join(runs).encode("latin-1"), 1)
+
+    for text in texts:
+        words = "".join(c.lower() if "A" <= c <= "Z" else c for c in text).encode().split()
+        hashes = [xxhash.xxh32_intdigest(w) for w in words]
+        shapes = [xxhash.xxh32_intdigest(b"=", 1) if i and w == words[i - 1] else shape(w) for i, w in enumerate(words)]
+        kinds = [
+            hashes, [a * 0x9E3779B1 + b * 0x85EBCA77 + 1 for a, b in zip(hashes, hashes[1:])],
+            shapes, [a * 0xC2B2AE3D + b * 0x27D4EB2F + 2 for a, b in zip(shapes, shapes[1:])],
+        ]
+        want = sum(model[mix(v)] / len(kind) for kind in kinds for v in kind) + model[-1]
+        df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        assert math.isclose(classifier.scored(df, model).first().score, 1 / (1 + math.exp(-want)), rel_tol=1e-9)
+
+
 def test_tables_without_rows(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert mixing.selection(empty).collect() == [] and mixing.mixed(empty).collect() == []
