@@ -64,7 +64,7 @@ def test_as_brute_force(spark):
     rows = corpus()
     df = spark.createDataFrame([(i, t, "x") for i, t in rows], SCHEMA).repartition(3)
     want = brute(rows)
-    got = covered(suffix_dedup.repeated_passages(df))
+    got = covered(suffix_dedup.repeated_passages(df, inside=False))
     assert all(got[i] <= want[i] for i in got)
     assert got == want
 
@@ -76,7 +76,7 @@ def test_edges_of_sorted_partitions(spark, monkeypatch):
     try:
         rows = corpus()
         df = spark.createDataFrame([(i, t, "x") for i, t in rows], SCHEMA)
-        assert covered(suffix_dedup.repeated_passages(df)) == brute(rows)
+        assert covered(suffix_dedup.repeated_passages(df, inside=False)) == brute(rows)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
 
@@ -99,7 +99,7 @@ def links(df, rows):
     order = {r["text"]: r["t"] for r in df.selectExpr("text", "xxhash64(coalesce(text, '')) AS t").distinct().collect()}
     text_of = dict(rows)
     found: dict = {}
-    for r in suffix_dedup.repeated_passages(df).where("NOT copy").collect():
+    for r in suffix_dedup.repeated_passages(df, inside=False).where("NOT copy").collect():
         pair = text_of[r["doc_id"]], text_of[r["other_doc_id"]]
         found.setdefault(pair, set()).update(range(r["start_word"], r["end_word"]))
     return found, order
@@ -135,3 +135,54 @@ def test_all_holders_of_a_passage_meet_in_one_text(spark, monkeypatch, mates):
             for other in own:
                 may.setdefault((text, other), set()).update(k for i in starts for k in range(i, i + 50))
     assert all(words <= may[pair] for pair, words in found.items())
+
+
+def brute_places(rows):
+    """{(text, word, least or greatest place's text, keeps)} of every passage of 50 words that stands in two places."""
+    holders: dict = {}
+    for text in {t for _, t in rows}:
+        words = (text or "").split()
+        for i in range(len(words) - 49):
+            holders.setdefault(tuple(words[i:i + 50]), []).append((text, i))
+    return [places for places in holders.values() if len(places) > 1]
+
+
+@pytest.mark.parametrize(("mates", "light"), [(1, 0), (16, 100_000), (10**6, 0)])
+def test_passages_inside_and_across_texts_as_brute_force(spark, monkeypatch, mates, light):
+    """Least and greatest place of every passage, whatever the frequency of its grams and whatever is broadcast."""
+    monkeypatch.setattr(suffix_dedup, "MATES", mates)
+    monkeypatch.setattr(suffix_dedup, "LIGHT", light)
+    draw = random.Random(2)
+
+    def prose(n):
+        return [f"w{draw.randrange(3000)}" for _ in range(n)]
+
+    twice, other = prose(80), prose(55)
+    rows = [(1, " ".join(twice + prose(30) + twice)), (2, " ".join(["a"] * 300)), (3, " ".join(prose(60) + other)), (4, " ".join(other * 3))]
+    rows += [(10 + k, " ".join(prose(20) + twice + prose(k))) for k in range(5)] + [(20, rows[0][1]), (None, "x")]
+    df = spark.createDataFrame([(i, t, "x") for i, t in rows], SCHEMA).repartition(3)
+    order = {r["text"]: r["t"] for r in df.selectExpr("text", "xxhash64(coalesce(text, '')) AS t").distinct().collect()}
+    want: dict = {}
+    for places in brute_places(rows):
+        places.sort(key=lambda p: (order[p[0]], p[1]))
+        for place in places:
+            keeps = place == places[0]
+            key = place[0], (places[-1] if keeps else places[0])[0], keeps
+            want.setdefault(key, set()).update(range(place[1], place[1] + 50))
+    found = suffix_dedup.spans(suffix_dedup.matches(suffix_dedup.representatives(df, suffix_dedup.distinct_texts(df))))
+    text_of = {t: text for text, t in order.items()}
+    got: dict = {}
+    for r in found.collect():
+        got.setdefault((text_of[r["t"]], text_of[r["other"]], r["keeps"]), set()).update(range(r["start"], r["stop"]))
+    assert got == want
+    kept = {r["doc_id"] for r in suffix_dedup.repeated_passages(df).where("copy AND keeps").collect()}
+    assert kept == {1}
+
+
+def test_frequency_split_decides_cost_only(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = []
+    for mates in (1, 16, 10**6):
+        monkeypatch.setattr(suffix_dedup, "MATES", mates)
+        found.append(sorted(map(str, suffix_dedup.repeated_passages(docs).collect())))
+    assert found[0] == found[1] == found[2] and len(found[0]) > 100
