@@ -497,6 +497,9 @@ ORACLES = {
         " WHERE version <= 3 QUALIFY row_number() OVER (PARTITION BY endur_price_uk, ext_price_uk ORDER BY version DESC) = 1) h WHERE price_match = 'False'",
         stamps=("comparison_date",), **_COMPARED_SHOWN),
     "merge_into_table": _quotes("merged_newer"),
+    "merge_into_bucketed_table": _quotes("merged_newer"),
+    "match_stats_stored": _sql(_BY_DATE.replace(
+        "FROM compared ", "FROM (SELECT * REPLACE (CASE WHEN year(pub_date) BETWEEN 1994 AND 1995 THEN 'True' ELSE price_match END AS price_match) FROM compared) AS compared ")),
     "merge_comparison_table": _shown("(SELECT * REPLACE (price_match || ' again' AS price_match) FROM compared_run)", stamps=("comparison_date",), **_COMPARED_SHOWN),
     "merge_report_table": _sql(_BY_DATE),
     "overwrite_days": _quotes("(SELECT * REPLACE (CASE WHEN month(pub_date) <= 6 THEN 'new' ELSE period_rel END AS period_rel) FROM internal_quotes)"),

@@ -4,6 +4,7 @@ Dates and timestamps are shown as text and 32-bit prices as rounded doubles, so
 engines print the same value.
 """
 
+import uuid
 from collections.abc import Callable
 from datetime import date
 
@@ -547,6 +548,29 @@ def merge_report_table(spark, sf_dir):
     return shown(tables.read_table(spark, path).select(*by_day.columns))
 
 
+def merge_into_bucketed_table(spark, sf_dir):
+    """The same upsert into a table whose rows lie in buckets of their key."""
+    path, name = new_folder(spark, "bucketed"), f"checked_quotes_{uuid.uuid4().hex}"
+    target = _by_month(exchange_table(spark, sf_dir))
+    for rows in (target, merge_source(target)):
+        tables.merge_into_bucketed(spark, name, path, rows, ["price_uk"], 4, partition="pub_month")
+    stored = shown(tables.read_table(spark, path).select(*QUOTE_COLUMNS))
+    spark.sql(f"DROP TABLE {name}")  # its files stay, as the table is external
+    return stored
+
+
+def match_stats_stored(spark, sf_dir):
+    """Statistics from the stored counts, after a run over all days and one that changes the days of two years."""
+    folder = new_folder(spark, "counts")
+    warehouse = jobs.Warehouse(f"{folder}/silver", f"{folder}/gold")
+    rows = _by_month(comparison(spark, sf_dir))
+    later = rows.filter(F.year("pub_date").between(1994, 1995)).withColumn("price_match", F.lit(V.MATCH))
+    for run in (rows, later):
+        tables.merge_into(spark, warehouse.compared, run, PAIR_KEY, M.UPDATE_ALL, partition="pub_month")
+        jobs.update_counts(spark, warehouse, run, "pub_month")
+    return shown(report.match_stats_of_counts(tables.read_table(spark, warehouse.counts)))
+
+
 def overwrite_days(spark, sf_dir):
     path = new_folder(spark, "months")
     quotes = _by_month(internal_table(spark, sf_dir))
@@ -792,7 +816,7 @@ QUERIES: dict[str, Query] = {
             latest_pub_date, latest_pub_date_quotes, forward_curve, quotes_of_hub,
             spot_quotes_of_hub_and_day, first_quotes, first_mismatches, merge_newer_wins,
             merge_update_all, merge_insert_only, merge_changes, history_as_of, merge_into_table,
-            merge_comparison_table, merge_report_table, overwrite_days, compacted_table,
+            merge_into_bucketed_table, match_stats_stored, merge_comparison_table, merge_report_table, overwrite_days, compacted_table,
             exported_report, exported_comparison, landed_internal, spot_files,
             spot_files_by_split, futures_files, futures_files_by_split, assessment_files,
             assessment_search, index_files, index_search, entry_counts, all_days, missing_feeds,

@@ -32,6 +32,27 @@ def match_stats_by_date(comparison: DataFrame) -> DataFrame:
     )
 
 
+def daily_counts(comparison: DataFrame) -> DataFrame:
+    """Compared prices per day, publication and class: what the statistics by day are sums of."""
+    return comparison.groupBy("pub_date", "publication_name", "price_match").agg(F.count("*").alias("no_rows"))
+
+
+def match_stats_of_counts(counts: DataFrame) -> DataFrame:
+    """``match_stats_by_date`` from ``daily_counts``."""
+    def of(name: str) -> Column:
+        return F.sum(F.when(F.col("price_match") == name, F.col("no_rows")).otherwise(0))
+
+    return counts.groupBy("pub_date").agg(
+        F.sum("no_rows").alias("total_prices"), of(V.MATCH).alias("price_match"),
+        of(V.ROUNDING_MATCH).alias("price_rounding_diff"), of(V.MISMATCH).alias("price_mismatch"),
+    )
+
+
+def volume_of_counts(counts: DataFrame, by: str) -> DataFrame:
+    """Volumes per day and publication or class, from ``daily_counts``."""
+    return counts.groupBy(F.col("pub_date").alias("publication_date"), by).agg(F.sum("no_rows").alias("number_of_prices"))
+
+
 def volume_by_publication(comparison: DataFrame) -> DataFrame:
     return (
         comparison.groupBy(F.col("pub_date").alias("publication_date"), "publication_name")

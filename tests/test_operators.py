@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from checks import queries as Q
 from checks.feeds import feed
-from quotebridge.operators import coverage, merge, reconcile, shaping
+from quotebridge.operators import coverage, merge, reconcile, report, shaping
 from quotebridge.operators.dedupe import dedupe_quotes
 from quotebridge.operators.skew import flag_duplicates, salted_join
 from quotebridge.plans import jobs
@@ -391,3 +391,139 @@ def test_window_ends_at_the_given_day(spark):
     days = spark.createDataFrame([("2021-10-26",), ("2021-10-25",), ("2021-10-24",), ("2021-10-28",), ("x",)], "pub_date string")
     assert sorted(r.pub_date for r in jobs.recent(days, 2, date(2021, 10, 26)).collect()) == ["2021-10-25", "2021-10-26"]
     assert jobs.recent(days, None).count() == 5
+
+
+def _quotes(spark, count, day="1998-01-01", start=0):
+    return spark.range(start, start + count).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("price_uk"), F.concat(F.lit("L"), F.col("id") % 5).alias("location_name"),
+        F.lit(1).alias("price_mid"), F.lit(1).alias("src_last_update"), F.lit(day).cast("date").alias("pub_date"),
+    )
+
+
+def _scan_rows(df):
+    """Rows that the file scan of a collected frame gave out."""
+    plan = df._jdf.queryExecution().executedPlan()
+    found, open_ = [], [plan]
+    while open_:
+        node = open_.pop()
+        if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            node = node.executedPlan()
+        if "Scan" in node.nodeName():
+            found.append(node.metrics().apply("numOutputRows").value())
+        children = node.children()
+        open_ += [children.apply(i) for i in range(children.size())]
+        if hasattr(node, "plan") and "QueryStage" in node.getClass().getSimpleName():
+            open_.append(node.plan())
+    return sum(found)
+
+
+def test_bucketed_merge_does_not_move_the_stored_side(spark, tmp_path):
+    name, path = "checked_bucketed", str(tmp_path / "b")
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    first = _quotes(spark, 900).unionByName(_quotes(spark, 900, "1998-01-02", 5000))
+    tables.merge_into_bucketed(spark, name, path, first, ["price_uk"], 4)
+    newer = _quotes(spark, 1000).withColumns({"price_mid": F.lit(2), "src_last_update": F.lit(2)})
+    merged = tables.bucketed_merge(spark, name, newer, ["price_uk"])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = tables.bucketed_merge(spark, name, newer, ["price_uk"])._jdf.queryExecution().sparkPlan().toString()
+        executed = merged._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SelectedBucketsCount: 4 out of 4" in executed and "FullOuter" in plan
+    lines = executed.splitlines()
+    scan = next(i for i, line in enumerate(lines) if "SelectedBucketsCount" in line)
+    depth = lines[scan].index("FileScan")
+    above, at = [], depth
+    for line in reversed(lines[:scan]):  # the ancestors of the scan, up to the join
+        own = len(line) - len(line.lstrip(" :+-*(0123456789)"))
+        if own < at:
+            above.append(line)
+            at = own
+        if "FullOuter" in line:
+            break
+    assert "FullOuter" in above[-1] and not any("Exchange hashpartitioning(price_uk" in line for line in above)
+    files = set(spark.table(name).where("pub_date = '1998-01-02'").inputFiles())
+    tables.merge_into_bucketed(spark, name, path, newer, ["price_uk"], 4)
+    stored = spark.table(name)
+    assert stored.groupBy("pub_date", "price_mid").count().orderBy("pub_date", "price_mid").collect() == [
+        (date(1998, 1, 1), 2, 1000), (date(1998, 1, 2), 1, 900)
+    ]
+    assert {f for f in stored.inputFiles() if "1998-01-02" in f} == {f for f in files if "1998-01-02" in f}
+    assert len([f for f in stored.inputFiles() if "1998-01-01" in f]) <= 4
+    spark.sql(f"DROP TABLE {name}")
+
+
+@pytest.mark.parametrize("compacted", [False, True])
+def test_key_lookup_skips_row_groups(spark, tmp_path, compacted):
+    """Rows lie by location, so every row group spans all keys: only the bloom filter can rule it out."""
+    path = str(tmp_path / "t")
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop.set("parquet.block.size", str(64 * 1024))
+    hadoop.set("parquet.page.size.row.check.min", "100")
+    try:
+        tables.merge_into(spark, path, _quotes(spark, 20_000).orderBy("location_name").coalesce(1), ["price_uk"])
+        if compacted:
+            tables.compact(spark, path, [date(1998, 1, 1)])
+    finally:
+        hadoop.unset("parquet.block.size")
+        hadoop.unset("parquet.page.size.row.check.min")
+    key = tables.read_table(spark, path).where("location_name = 'L3'").first().price_uk
+    found = report.lookup(tables.read_table(spark, path), ["price_uk"], price_uk=key)
+    assert found.count() == 1
+    looked_up = tables.read_table(spark, path).where(F.col("price_uk") == key)
+    assert len(looked_up.collect()) == 1
+    assert _scan_rows(looked_up) < 20_000 / 3
+    absent = tables.read_table(spark, path).where(F.col("price_uk") == "7" + "0" * 63)
+    assert absent.collect() == [] and _scan_rows(absent) < 20_000 / 3
+
+
+def test_a_source_that_does_not_fit_is_refused_before_a_write(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.merge_into(spark, path, _quotes(spark, 10), ["price_uk"])
+    files = sorted(str(f) for f in (tmp_path / "t").rglob("*"))
+    for source, problem in (
+        (_quotes(spark, 10).withColumn("price_mid", F.lit("1")), "price_mid is string, not int"),
+        (_quotes(spark, 10).drop("location_name"), "location_name is missing"),
+        (_quotes(spark, 10).withColumn("note", F.lit("x")), "note not stored"),
+    ):
+        with pytest.raises(ValueError, match=problem):
+            tables.merge_into(spark, path, source, ["price_uk"])
+    assert sorted(str(f) for f in (tmp_path / "t").rglob("*")) == files
+    noted = _quotes(spark, 5, "1998-01-03", 100).withColumn("note", F.lit("x"))
+    tables.merge_into(spark, path, noted, ["price_uk"], add_columns=True)
+    tables.merge_into(spark, path, _quotes(spark, 12).withColumns({"note": F.lit("y"), "src_last_update": F.lit(2)}), ["price_uk"], add_columns=True)
+    stored = tables.read_evolved(spark, path)
+    assert stored.groupBy("note").count().orderBy("note").collect() == [("x", 5), ("y", 12)]
+    assert tables.conform(noted.drop("note"), noted.schema, "pub_date", optional=["note"]).columns == noted.columns
+
+
+def test_a_second_compaction_finds_nothing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    two = _quotes(spark, 30_000).unionByName(_quotes(spark, 2000, "1998-01-02", 50_000)).repartition(6)
+    two.write.partitionBy("pub_date").parquet(path)
+    size = 300_000
+    assert tables.small_file_partitions(spark, path, file_bytes=size).count() > 0
+    for _ in range(2):  # a smaller rewrite may need one file less
+        tables.compact(spark, path, file_bytes=size)
+    before = sorted(spark.read.parquet(path).inputFiles())
+    assert tables.small_file_partitions(spark, path, file_bytes=size).count() == 0
+    tables.compact(spark, path, file_bytes=size)
+    assert sorted(spark.read.parquet(path).inputFiles()) == before
+    assert spark.read.parquet(path).count() == 32_000
+
+
+def test_stored_counts_follow_the_touched_days(spark, tmp_path):
+    warehouse = jobs.Warehouse(str(tmp_path / "silver"), str(tmp_path / "gold"))
+
+    def compared(day, kind, keys):
+        return spark.createDataFrame([(f"i{k}", f"e{k}", "P", kind, day) for k in keys], "endur_price_uk string, ext_price_uk string, publication_name string, price_match string, pub_date date")
+
+    one, two = date(1998, 1, 1), date(1998, 1, 2)
+    for rows_ in (compared(one, "True", range(5)).unionByName(compared(two, "False", range(10, 13))), compared(two, "True", range(12, 15))):
+        tables.merge_into(spark, warehouse.compared, rows_, ["endur_price_uk", "ext_price_uk"], merge.UPDATE_ALL)
+        jobs.update_counts(spark, warehouse, rows_)
+    stored, recount = tables.read_table(spark, warehouse.counts), tables.read_table(spark, warehouse.compared)
+    assert rows(report.match_stats_of_counts(stored)) == rows(report.match_stats_by_date(recount))
+    assert rows(report.volume_of_counts(stored, "price_match")) == rows(report.volume_by_match(recount))
+    assert rows(report.volume_of_counts(stored, "publication_name")) == rows(report.volume_by_publication(recount))
