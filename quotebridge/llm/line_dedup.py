@@ -7,23 +7,27 @@ word always stay.
 Equal sets are one class, with the first line as its representative; only classes are joined. Words are ordered by rarity
 (counted over all lines into 2^20 cells of one byte each, so the order has a fixed size, and only how rare is approximate).
 Two similar sets share one of their first n - ceil(0.8 n) + 1 words in that order (prefix filter); the sizes and the place of
-that word bound the overlap (length and positional filter), and so does a 64-bit parity of the words. Posting lists of
-up to ``LIST`` classes are joined with themselves. In longer ones each class meets the ``NEAR`` classes before it; those
+that word bound the overlap (length and positional filter), and so does a 64-bit parity of the words. Postings are shuffled once: in
+lists of up to ``LIST`` classes each class meets all before it, and lists of one class end there. In longer ones each class meets the ``NEAR`` classes before it; those
 that find no match go round again among themselves, and what then is left is joined with all of those lists. So no long
 list is paired out, and no match is lost. Of the possible partners of a class the most alike is verified first, the others
 only if that one fails.
 
-DataFrame functions only. Words are compared as they are; a class is known by 64 bits of the hash of its words.
+DataFrame functions only. In candidates, words are 56-bit hashes below 7 bits of rarity; the final check compares them as they
+are. A class is known by 64 bits of the hash of its words. Intermediate tables are deleted as soon as they have been used.
 
 Defined results: null text is one line without words; null doc_ids come last in the order; repeated rows share their fate; an
 empty table gives no rows; similarity is exact at 0.8; only doc_id and text are read.
 """
 
-import numpy as np
+from collections.abc import Callable
+from functools import partial
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quotebridge.llm.common import small_side, staged
+from quotebridge.sinks.staging import stages
 
 CELLS = 1 << 20
 LIST, NEAR = 128, 32
@@ -31,6 +35,8 @@ LAST = (1 << 63) - 1
 LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ\t\v\f\r"
 FOLDED = "abcdefghijklmnopqrstuvwxyz    "
 PLACE = ["d", "l", "t"]
+#: Stores a table and reads it back; it goes when the part of the job ends that asked for it.
+Stage = Callable[[DataFrame, str], DataFrame]
 #: Order of the classes: by their first line, which two classes share only if a doc_id is repeated.
 ORDER = ["d", "l", "h"]
 
@@ -53,24 +59,34 @@ def cell(word: Column) -> Column:
 
 
 def rarity(rows: DataFrame) -> Column:
-    """One byte per cell, from 1 (rarest) to 127: six steps for each doubling of the words in the cell."""
+    """One byte per cell, from 1 (rarest) to 127: six steps for each doubling of the words in the cell.
+
+    The cells are put in order by 1,024 groups, whose strings come to the driver: ``CELLS`` bytes whatever the data.
+    """
     text = F.translate("text", LETTERS + "\n", FOLDED + " ")
     counted = rows.select(F.explode(words_of(text)).alias("w")).groupBy(cell(F.col("w")).alias("cell")).count()
     level = F.least(F.lit(127), F.floor(F.log2(F.col("count") + 1) * 6)).cast("int")
-    found = counted.select("cell", level.alias("level")).toArrow()
-    levels = np.ones(CELLS, np.uint8)
-    levels[found["cell"].to_numpy()] = found["level"].to_numpy()
-    return F.lit(levels.tobytes())
+    every = rows.sparkSession.range(CELLS).select(F.col("id").cast("int").alias("cell"))
+    filled = every.join(counted.select("cell", level.alias("level")), "cell", "left").withColumn("level", F.coalesce("level", F.lit(1)))
+    pairs = F.sort_array(F.collect_list(F.struct("cell", F.char("level").alias("byte"))))
+    groups = filled.groupBy(F.shiftright("cell", 10).alias("part")).agg(F.array_join(F.transform(pairs, lambda p: p["byte"]), "").alias("bytes"))
+    return F.lit("".join(r["bytes"] for r in sorted(groups.collect())).encode())
+
+
+def with_words(lines: DataFrame) -> DataFrame:
+    """``line`` as ``words``: its distinct folded words."""
+    return lines.withColumn("words", F.array_distinct(words_of(F.translate("line", LETTERS, FOLDED)))).drop("line")
 
 
 def with_keys(lines: DataFrame, levels: Column) -> DataFrame:
-    """Adds ``keys``: the distinct words of ``line`` after a letter for their rarity, in that order."""
+    """Adds ``keys``: one number for each distinct word of ``line``, its rarity above its hash, in that order."""
 
     def key(word: Column) -> Column:
-        return F.concat(F.substring(levels, cell(word) + 1, 1).cast("string"), word)
+        level = F.ascii(F.substring(levels, cell(word) + 1, 1).cast("string")).cast("long")
+        return F.call_function("shiftleft", level, F.lit(56)).bitwiseOR(F.shiftrightunsigned(F.xxhash64(word), 8))
 
-    words = F.array_distinct(words_of(F.translate("line", LETTERS, FOLDED)))
-    return lines.withColumn("keys", F.sort_array(F.transform(words, key))).drop("line")
+    words = words_of(F.translate("line", LETTERS, FOLDED))
+    return lines.withColumn("keys", F.sort_array(F.array_distinct(F.transform(words, key)))).drop("line")
 
 
 def lines_of(rows: DataFrame) -> DataFrame:
@@ -81,12 +97,12 @@ def classes(rows: DataFrame, levels: Column) -> DataFrame:
     """One row per distinct set: h, d, l, t (its first line), n, sig (parity of its words), prefix, times."""
     bit = F.aggregate(
         "keys", F.lit(0).cast("long"),
-        lambda acc, k: acc.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.hash(k).bitwiseAND(F.lit(63)))),
+        lambda acc, k: acc.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), k.bitwiseAND(F.lit(63)).cast("int"))),
     )
     first = F.slice("keys", 1, F.expr("size(keys) - (4 * size(keys) + 4) div 5 + 1").cast("int"))
     described = with_keys(lines_of(rows), levels).select(
         *PLACE, F.xxhash64("keys").alias("h"), F.size("keys").alias("n"), bit.alias("sig"),
-        F.transform(first, lambda k: F.hash(k)).alias("prefix"),
+        first.alias("prefix"),
     )
     place = F.struct(*PLACE)
     found = described.groupBy("h").agg(F.min(F.struct(place.alias("place"), "n", "sig", "prefix")).alias("first"), F.count("*").alias("times"))
@@ -108,12 +124,12 @@ def postings(sets: DataFrame) -> DataFrame:
     return sets.where("n > 3").select(*ORDER, "n", "sig", F.posexplode("prefix").alias("pos", "key"))
 
 
-def neighbours(entries: DataFrame, width: int) -> DataFrame:
+def neighbours(entries: DataFrame, width: int, order: list[str] = ORDER) -> DataFrame:
     """(h, key, near: possible partners among the ``width`` before it in the list, more: the list has earlier ones)."""
-    window = Window.partitionBy("key").orderBy(*ORDER)
+    window = Window.partitionBy("key").orderBy(*order)
     mine = {c: F.col(c) for c in ("n", "pos", "sig")}
     before = F.collect_list(F.struct("h", "n", "pos", "sig")).over(window.rowsBetween(-width, -1))
-    return entries.withColumn("before", before).withColumn("rank", F.row_number().over(window)).select(
+    return entries.withColumn("before", before).withColumn("rank", F.row_number().over(window)).where("rank > 1").select(
         "h", "key",
         F.transform(
             F.filter("before", lambda o: possible(mine, {c: o[c] for c in ("n", "pos", "sig")}) & (o["h"] != F.col("h"))),
@@ -136,73 +152,72 @@ def directed(pairs: DataFrame, places: DataFrame) -> DataFrame:
 class Verifier:
     """Exact similarity of pairs of classes, from the lines that represent them."""
 
-    def __init__(self, rows: DataFrame, levels: Column, sets: DataFrame):
-        self.rows, self.levels, self.sets = rows, levels, sets
+    def __init__(self, rows: DataFrame, sets: DataFrame, stage: Stage):
+        self.rows, self.sets, self.stage = rows, sets, stage
 
-    def keys_of(self, ids: DataFrame) -> DataFrame:
-        """(h, keys) of the classes in ``ids``."""
-        wanted = small_side(staged(self.sets.join(ids, "h", "left_semi").select("h", *PLACE), "wanted-lines"))
+    def words_of(self, ids: DataFrame, stage: Stage) -> DataFrame:
+        """(h, words) of the classes in ``ids``."""
+        wanted = small_side(stage(self.sets.join(ids, "h", "left_semi").select("h", *PLACE), "wanted-lines"))
         documents = self.rows.join(wanted.select("d", "t"), ["d", "t"], "left_semi")
         lines = lines_of(documents).join(wanted, PLACE)
-        return staged(with_keys(lines.dropDuplicates(["h"]), self.levels).select("h", "keys"), "sets")
+        return stage(with_words(lines.dropDuplicates(["h"])).select("h", "words"), "sets")
 
     def similar(self, pairs: DataFrame) -> DataFrame:
         """The distinct x of the stored pairs (x, y) that are similar."""
         if pairs.isEmpty():
             return pairs.select("x")
-        ids = pairs.select(F.col("x").alias("h")).unionAll(pairs.select(F.col("y").alias("h"))).distinct()
-        keys = self.keys_of(ids)
-        both = pairs.join(keys.select(F.col("h").alias("x"), F.col("keys").alias("kx")), "x").join(
-            keys.select(F.col("h").alias("y"), F.col("keys").alias("ky")), "y"
-        )
-        shared = F.size(F.array_intersect("kx", "ky"))
-        return staged(both.where(9 * shared >= 4 * (F.size("kx") + F.size("ky"))).select("x").distinct(), "similar")
-
-    def settled(self, pairs: DataFrame) -> DataFrame:
+        with stages(pairs.sparkSession) as stage:
+            ids = pairs.select(F.col("x").alias("h")).unionAll(pairs.select(F.col("y").alias("h"))).distinct()
+            words = self.words_of(ids, partial(stage, spread=False))
+            both = pairs.join(words.select(F.col("h").alias("x"), F.col("words").alias("kx")), "x").join(
+                words.select(F.col("h").alias("y"), F.col("words").alias("ky")), "y"
+            )
+            shared = F.size(F.array_intersect("kx", "ky"))
+            return self.stage(both.where(9 * shared >= 4 * (F.size("kx") + F.size("ky"))).select("x").distinct(), "similar")
+
+    def settled(self, pairs: DataFrame, stage: Stage) -> DataFrame:
         """As ``similar``, but looks at the most alike partner of each x first."""
-        best = staged(pairs.groupBy("x").agg(F.min(F.struct("apart", "y")).alias("b")).select("x", "b.y"), "best-pairs")
+        best = stage(pairs.groupBy("x").agg(F.min(F.struct("apart", "y")).alias("b")).select("x", "b.y"), "best-pairs")
         found = self.similar(best)
-        others = staged(
+        others = stage(
             pairs.join(found, "x", "left_anti").join(best, ["x", "y"], "left_anti").select("x", "y"), "other-pairs"
         )
         return found.unionAll(self.similar(others))
 
 
-def removed_classes(rows: DataFrame, levels: Column, sets: DataFrame, size: int = LIST, width: int = NEAR) -> DataFrame:
+def removed_classes(rows: DataFrame, sets: DataFrame, stage: Stage, size: int = LIST, width: int = NEAR) -> DataFrame:
     """(h) of the classes that resemble a class with an earlier first line."""
-    verifier = Verifier(rows, levels, sets)
+    verifier = Verifier(rows, sets, stage)
     places = sets.select(*ORDER)
 
     def settled(pairs: DataFrame) -> DataFrame:
         """(h) of the later ones of the similar pairs (a, b, apart)."""
-        found = verifier.settled(staged(directed(pairs.groupBy("a", "b").agg(F.min("apart").alias("apart")), places), "pairs"))
-        return staged(found.select(F.col("x").alias("h")).distinct(), "settled")
+        with stages(rows.sparkSession) as stored:
+            own = partial(stored, spread=False)
+            found = verifier.settled(own(directed(pairs.groupBy("a", "b").agg(F.min("apart").alias("apart")), places), "pairs"), own)
+            return stage(found.select(F.col("x").alias("h")).distinct(), "settled")
 
     def listed(seen: DataFrame) -> DataFrame:
         near = seen.select(F.col("h").alias("a"), F.explode("near").alias("one"))
         return near.select("a", F.col("one.other").alias("b"), "one.apart")
 
     sizes = postings(sets).groupBy("key").agg(F.count("*").alias("size"))
-    long_lists = small_side(staged(sizes.where(F.col("size") > size).select("key"), "long-lists"))
+    long_lists = small_side(stage(sizes.where(F.col("size") > size).select("key"), "long-lists"))
     short = postings(sets).select("key", "h", "n", "pos", "sig").join(long_lists, "key", "left_anti")
-    mine, theirs = ({c: F.col(f"{side}.{c}") for c in ("n", "pos", "sig")} for side in "ab")
-    pairs = short.alias("a").join(
-        short.alias("b"), (F.col("a.key") == F.col("b.key")) & (F.col("a.h") > F.col("b.h")) & possible(mine, theirs)
-    ).select(F.col("a.h").alias("a"), F.col("b.h").alias("b"), F.bit_count(F.col("a.sig").bitwiseXOR(F.col("b.sig"))).alias("apart"))
-    gone = settled(pairs)
-    crowded = staged(postings(sets).join(long_lists, "key", "left_semi").join(gone, "h", "left_anti"), "crowded-open")
-    seen = staged(neighbours(crowded, width), "neighbours")
+    gone = settled(listed(neighbours(short, size, ["h"])))
+    crowded = stage(postings(sets).join(long_lists, "key", "left_semi").join(gone, "h", "left_anti"), "crowded-open")
+    seen = stage(neighbours(crowded, width), "neighbours")
     gone = gone.unionAll(settled(listed(seen)))
-    left = staged(crowded.select("h", "key").join(gone, "h", "left_anti"), "open")
+    left = stage(crowded.select("h", "key").join(gone, "h", "left_anti"), "open")
     while not left.isEmpty():
         new = settled(listed(neighbours(postings(sets).join(left, ["h", "key"], "left_semi"), width)))
         gone = gone.unionAll(new)
         if new.isEmpty():
             break
-        left = staged(left.join(new, "h", "left_anti"), "open")
+        left = stage(left.join(new, "h", "left_anti"), "open")
     if left.isEmpty():
         return gone.distinct()
-    every = postings(sets).join(small_side(staged(left.select("key").distinct(), "open-keys")), "key", "left_semi")
+    every = postings(sets).join(small_side(stage(left.select("key").distinct(), "open-keys")), "key", "left_semi")
     own = every.join(left, ["h", "key"], "left_semi").select(*[F.col(c).alias(f"{c}_x") for c in every.columns])
     mine, theirs = ({c: F.col(c + end) for c in ("n", "pos", "sig")} for end in ("_x", ""))
     earlier = F.struct(*ORDER) < F.struct(*[f"{c}_x" for c in ORDER])
@@ -215,11 +230,12 @@ def removed_classes(rows: DataFrame, levels: Column, sets: DataFrame, size: int
 def kept_lines(docs: DataFrame, size: int = LIST, width: int = NEAR) -> DataFrame:
     """(d, t, kept: numbers of the lines with words that stay) of the documents that keep any, stored."""
     rows = rows_of(docs)
-    levels = rarity(rows)
-    sets = staged(classes(rows, levels), "line-classes")
-    gone = removed_classes(rows, levels, sets, size, width)
-    stay = sets.join(gone, "h", "left_anti").groupBy("d", "t").agg(F.collect_list("l").alias("kept"))
-    return staged(stay, "kept-lines")
+    with stages(docs.sparkSession) as stored:
+        stage = partial(stored, spread=False)
+        sets = stage(classes(rows, rarity(rows)), "line-classes")
+        gone = removed_classes(rows, sets, stage, size, width)
+        stay = sets.join(gone, "h", "left_anti").groupBy("d", "t").agg(F.collect_list("l").alias("kept"))
+        return staged(stay, "kept-lines")
 
 
 def deduplicated(docs: DataFrame, size: int = LIST, width: int = NEAR) -> DataFrame:

@@ -67,3 +67,26 @@ def test_no_python_in_the_plan(spark):
     df = spark.createDataFrame([(1, "a b c d e\nb a", "z")], SCHEMA)
     plan = line_dedup.classes(line_dedup.rows_of(df), line_dedup.rarity(line_dedup.rows_of(df)))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_lines_of_common_words_only(spark):
+    """Every word is in many lines, so all lists are long and pairs are only found by the rounds over them."""
+    draw = random.Random(8)
+    pool = [f"c{i}" for i in range(40)]
+    base = [draw.sample(pool, 12) for _ in range(120)]
+    rows = [(i, "\n".join(" ".join(draw.choice(base) if draw.random() < 0.4 else draw.sample(pool, 12)) for _ in range(3))) for i in range(60)]
+    df = spark.createDataFrame([(i, t, "z") for i, t in rows], SCHEMA)
+    got = [(r["doc_id"], r["n_lines"], r["text"]) for r in line_dedup.deduplicated(df, 4, 3).collect()]
+    assert sorted(got, key=str) == brute(rows)
+
+
+def test_intermediate_tables_are_deleted(spark):
+    from pathlib import Path
+
+    from quotebridge.sinks.staging import shared_folder
+
+    folder = Path(shared_folder(spark))
+    before = {f.name for f in folder.iterdir()}
+    df = spark.createDataFrame([(i, t, "z") for i, t in corpus()], SCHEMA)
+    line_dedup.report(df, 5, 4).collect()
+    assert {f.name.rsplit("-", 1)[0] for f in folder.iterdir() if f.name not in before} <= {"kept-lines"}
