@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotebridge.llm.common import raw_texts
+from quotebridge.llm.common import raw_texts, tidy
 
 ERROR_RATE = 0.07
 BLOCK_CHARS = 2_000_000
@@ -148,7 +148,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, blo
                     "end": pa.array([r[3] for r in rows], pa.int64()),
                 })
 
-        results.append(texts.mapInArrow(run, "doc_id long, item_id long, edits long, budget long, end long"))
+        results.append(texts.mapInArrow(tidy(run), "doc_id long, item_id long, edits long, budget long, end long"))
     found = results[0]
     for other in results[1:]:
         found = found.unionAll(other)
@@ -166,5 +166,5 @@ def clean(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, block
                 free = [not matcher.found(folded(text), first_only=True) for text in raw_texts(batch["text"])]
                 yield batch.filter(pa.array(free, pa.bool_()))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = docs.mapInArrow(tidy(run), docs.schema)
     return docs

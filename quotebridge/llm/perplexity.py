@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quotebridge.llm.common import raw_texts, small_side, staged
+from quotebridge.llm.common import raw_texts, small_side, staged, tidy
 
 ORDER = 4
 ARRAY_ROWS = 1_000_000
@@ -125,7 +125,7 @@ def gram_counts(docs: DataFrame) -> DataFrame:
                         size = 0
         yield from flush()
 
-    found = docs.select(F.coalesce("lang", F.lit("")).alias("lang"), "text").mapInArrow(run, "lang string, gram long, n long")
+    found = docs.select(F.coalesce("lang", F.lit("")).alias("lang"), "text").mapInArrow(tidy(run), "lang string, gram long, n long")
     return found.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
@@ -328,7 +328,7 @@ def scanned(docs: DataFrame, arrays: Arrays, carry: list[str]) -> DataFrame:
                         yield pa.record_batch({name: (nulls | filled)[name] for name in schema.names})
                 key += len(batch)
 
-    return chosen.mapInArrow(run, schema)
+    return chosen.mapInArrow(tidy(run), schema)
 
 
 def rated(docs: DataFrame, arrays: Arrays, rest: DataFrame, carry: list[str]) -> DataFrame:

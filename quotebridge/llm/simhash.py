@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotebridge.llm.common import raw_texts, small_side, staged
+from quotebridge.llm.common import raw_texts, small_side, staged, tidy
 from quotebridge.llm.components import components
 
 SEED = 42
@@ -62,7 +62,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
             found = np.fromiter(map(fingerprint, raw_texts(batch["text"])), np.uint64, len(batch))
             yield pa.record_batch({"doc_id": batch["doc_id"], "t": batch["t"], "fp": found.view(np.int64)})
 
-    return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("t"), "text").mapInArrow(run, "doc_id long, t long, fp long")
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("t"), "text").mapInArrow(tidy(run), "doc_id long, t long, fp long")
 
 
 def links(fps: DataFrame, list_size: int = LIST) -> DataFrame:
