@@ -129,13 +129,14 @@ def keep_one(docs: DataFrame, list_size: int = LIST) -> DataFrame:
     member = rows.join(labels, rows["fp"] == labels["node"], "left").select(F.coalesce("label", "fp").alias("label"), "doc_id", "t", "n")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t", "n"))
     chosen = staged(member.groupBy("label").agg(first.alias("first")).select(
-        F.col("first.doc_id").alias("__id"), F.col("first.t").alias("__t"), F.col("first.n").alias("__n")
+        F.col("first.doc_id").alias("chosen_id"), F.col("first.t").alias("chosen_t"), F.col("first.n").alias("n")
     ), "chosen-rows")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])  # columns of the documents may have any name
+    keyed = docs.select(whole.alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("t"))
 
     def rows_of(condition: str) -> DataFrame:
-        wanted = small_side(chosen.where(condition))
-        own = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__t"))
-        return docs.join(wanted.select("__id", "__t"), own)
+        wanted = small_side(chosen.where(condition)).drop("n")
+        return keyed.join(wanted, F.col("id").eqNullSafe(F.col("chosen_id")) & (F.col("t") == F.col("chosen_t")))
 
-    once = rows_of("__n = 1").select(*docs.columns)
-    return once.unionByName(rows_of("__n > 1").dropDuplicates(["__id", "__t"]).select(*docs.columns))
+    once, repeated = rows_of("n = 1"), rows_of("n > 1").dropDuplicates(["id", "t"])
+    return once.select("row.*").unionByName(repeated.select("row.*"))
