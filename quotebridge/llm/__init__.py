@@ -1,4 +1,4 @@
-"""Training-data operators: the ten numbered operators, their queries and shared helpers.
+"""Training-data operators: the thirteen numbered operators, their queries and shared helpers.
 
 Functions of this package travel to the executors with the task, so no executor has to have it installed.
 """

@@ -5,7 +5,8 @@ piece spans two words, so the marginal of a text is the product of those of its
 make every text possible. The vocabulary at hand carries merge ranks as scores, not probabilities, so the first weights are
 1 / (rank + ``OFFSET``); ``ROUNDS`` rounds of expected piece counts over the training words turn them into a unigram
 model. Words are counted over all documents by Spark, and each distinct word meets the lattice once per round, in blocks of
-words of one length, by a forward (and for expected counts backward) recursion in log space.
+words of one length, by a forward (and for expected counts backward) recursion in log space. Words of over ``LONG`` bytes
+go alone, ``SPAN`` places at a time: a text of many megabytes without blanks takes two numbers a byte and no more edges than a span has.
 
 Words with at most 1/``COMMON`` of the training tokens are joined to the documents by shuffle; there are at most
 ``COMMON`` more frequent ones, and only those are broadcast.
@@ -15,6 +16,7 @@ documents base scores use zero counts and the lattice its first weights; repeate
 table gives no rows; only doc_id and text are read.
 """
 
+import math
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -34,6 +36,8 @@ BASE = np.uint64(0x9E3779B97F4A7C15)
 #: Distinct words that a counting task holds before it passes them on.
 HELD = 400_000
 CELLS = 4_000_000
+#: Bytes, with the mark, up to which words meet the lattice in blocks; places of a longer word whose edges are held at once.
+LONG, SPAN = 64, 1 << 16
 
 
 class Pieces:
@@ -115,11 +119,89 @@ def _forward(pieces: Pieces, rows: np.ndarray, edges: list) -> np.ndarray:
     return alpha
 
 
+class LongWords:
+    """The recursions along one word, with the edges of all places of a span found together."""
+
+    def __init__(self, pieces: Pieces):
+        self.pieces = pieces
+        self.filled = np.zeros(1 << 20, bool)
+        self.filled[pieces.hashes >> np.uint64(44)] = True
+
+    def edges(self, letters: np.ndarray, low: int, high: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(starts, stops, places of the pieces) of the edges with low < stop <= high, by stop."""
+        pieces = self.pieces
+        first = max(0, low + 1 - pieces.longest)
+        own = letters[first:high].astype(np.uint64) + np.uint64(1)
+        starts, stops, places = [], [], []
+        hashes = np.zeros(len(own) + 1, np.uint64)
+        for length in range(1, min(pieces.longest, len(own)) + 1):
+            hashes = hashes[:-1] * BASE + own[length - 1:]
+            # most places have no piece: a table of the hashes' first bits tells before the search
+            new = max(0, low + 1 - first - length)
+            maybe = np.flatnonzero(self.filled[hashes[new:] >> np.uint64(44)]) + new
+            at = np.minimum(np.searchsorted(pieces.hashes, hashes[maybe]), len(pieces.hashes) - 1)
+            hit = pieces.hashes[at] == hashes[maybe]
+            starts.append(first + maybe[hit])
+            stops.append(starts[-1] + length)
+            places.append(at[hit])
+        stop = np.concatenate(stops)
+        order = np.argsort(stop, kind="stable")
+        return np.concatenate(starts)[order], stop[order], np.concatenate(places)[order]
+
+    def forward(self, letters: np.ndarray) -> np.ndarray:
+        """Log probability of each prefix."""
+        alpha = np.full(len(letters) + 1, -np.inf)
+        alpha[0] = 0.0
+        for low in range(0, len(letters), SPAN):
+            high = min(low + SPAN, len(letters))
+            starts, stops, at = self.edges(letters, low, high)
+            first = max(0, low + 1 - self.pieces.longest)
+            own = alpha[first:high + 1].tolist()
+            for start, stop, log in zip((starts - first).tolist(), (stops - first).tolist(), self.pieces.logs[at].tolist(), strict=True):
+                own[stop] = _added(own[stop], own[start] + log)
+            alpha[low + 1:high + 1] = own[low + 1 - first:]
+        return alpha
+
+    def expected(self, letters: np.ndarray, count: float) -> np.ndarray:
+        """Expected number of times that each piece occurs in ``count`` copies of the word."""
+        total = np.zeros(len(self.pieces.logs))
+        alpha = self.forward(letters)
+        beta = np.full(len(letters) + 1, -np.inf)
+        beta[-1] = 0.0
+        weight = np.log(count) - alpha[-1]
+        for low in reversed(range(0, len(letters), SPAN)):
+            high = min(low + SPAN, len(letters))
+            starts, stops, at = self.edges(letters, low, high)
+            logs = self.pieces.logs[at]
+            first = max(0, low + 1 - self.pieces.longest)
+            own = beta[first:high + 1].tolist()
+            back = zip((starts - first)[::-1].tolist(), (stops - first)[::-1].tolist(), logs[::-1].tolist(), strict=True)
+            for start, stop, log in back:
+                own[start] = _added(own[start], own[stop] + log)
+            beta[first:high + 1] = own
+            total += np.bincount(at, np.exp(alpha[starts] + logs + beta[stops] + weight), len(total))
+        return total
+
+
+def _added(a: float, b: float) -> float:
+    """log(exp(a) + exp(b)) of two numbers."""
+    low, high = (a, b) if a < b else (b, a)
+    return high if low == -math.inf else high + math.log1p(math.exp(low - high))
+
+
+def _long(words: list[bytes]) -> Iterator[tuple[int, np.ndarray]]:
+    """(place, bytes with the mark before them) of the words that go alone."""
+    for i, word in enumerate(words):
+        if len(word) + len(MARK) > LONG:
+            yield i, np.frombuffer(MARK + word, np.uint8)
+
+
 def _blocks(words: list[bytes]) -> Iterator[tuple[list[int], np.ndarray]]:
-    """Words with the mark before them, grouped by length: (their places, matrix of bytes)."""
+    """The other words with the mark before them, grouped by length: (their places, matrix of bytes)."""
     groups: dict[int, list[int]] = defaultdict(list)
     for i, word in enumerate(words):
-        groups[len(word)].append(i)
+        if len(word) + len(MARK) <= LONG:
+            groups[len(word)].append(i)
     for length, own in groups.items():
         width = length + len(MARK)
         step = max(1, CELLS // (width * 16))
@@ -134,6 +216,9 @@ def word_logs(pieces: Pieces, words: list[bytes]) -> np.ndarray:
     found = np.empty(len(words))
     for own, rows in _blocks(words):
         found[own] = _forward(pieces, rows, _edges(pieces, rows))[:, -1]
+    alone = LongWords(pieces)
+    for i, letters in _long(words):
+        found[i] = alone.forward(letters)[-1]
     return found
 
 
@@ -150,6 +235,9 @@ def expected_pieces(pieces: Pieces, words: list[bytes], counts: np.ndarray) -> n
             path = pieces.logs[at] + beta[hit, stop]
             beta[hit, start] = np.logaddexp(beta[hit, start], path)
             total += np.bincount(at, np.exp(alpha[hit, start] + path + weight[hit]), len(total))
+    alone = LongWords(pieces)
+    for i, letters in _long(words):
+        total += alone.expected(letters, counts[i])
     return total
 
 

@@ -2,6 +2,7 @@ import itertools
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -59,6 +60,37 @@ def test_expected_pieces_as_enumeration():
     assert np.allclose(got, [want.get(name, 0) for name in own.names])
 
 
+@pytest.mark.parametrize("span", [1, 3, 1 << 16])
+def test_words_alone_as_enumeration(monkeypatch, span):
+    monkeypatch.setattr(lattice, "LONG", 0)
+    monkeypatch.setattr(lattice, "SPAN", span)
+    test_marginals_as_enumeration()
+    test_expected_pieces_as_enumeration()
+
+
+@pytest.mark.parametrize("span", [5, 64, 1000, 1 << 16])
+def test_long_words_as_in_blocks(monkeypatch, span):
+    own = lattice.read_pieces(lattice.VOCABULARY)
+    rng = random.Random(3)
+    words = [bytes(rng.choices(b"theandrsi", k=n)) for n in (1, 61, 62, 200, 900)] + ["é中𝄞".encode() * 40, bytes(range(33, 250))]
+    counts = np.arange(1, len(words) + 1)
+    monkeypatch.setattr(lattice, "LONG", 10**6)
+    logs, expected = lattice.word_logs(own, words), lattice.expected_pieces(own, words, counts)
+    monkeypatch.setattr(lattice, "LONG", 64)
+    monkeypatch.setattr(lattice, "SPAN", span)
+    assert np.allclose(lattice.word_logs(own, words), logs, rtol=1e-9)
+    assert np.allclose(lattice.expected_pieces(own, words, counts), expected, rtol=1e-6, atol=1e-9)
+
+
+def test_a_word_of_a_million_bytes():
+    own = lattice.read_pieces(lattice.VOCABULARY)
+    word = bytes(random.Random(5).choices(b"etaoinshrdlu", k=1_000_000))
+    start = time.process_time()
+    log, = lattice.word_logs(own, [word])
+    assert time.process_time() - start < 60
+    assert -20 * len(word) < log < 0
+
+
 def test_probabilities_sum_to_one():
     own = pieces()
     assert abs(np.exp(own.logs).sum() + math.exp(own.end) - 1) < 1e-9
