@@ -37,7 +37,7 @@ BASE = np.uint64(0x9E3779B97F4A7C15)
 HELD = 400_000
 CELLS = 4_000_000
 #: Bytes, with the mark, up to which words meet the lattice in blocks; places of a longer word whose edges are held at once.
-LONG, SPAN = 64, 1 << 16
+LONG, SPAN = 256, 1 << 16
 
 
 class Pieces:
