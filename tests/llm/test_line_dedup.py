@@ -90,3 +90,42 @@ def test_intermediate_tables_are_deleted(spark):
     df = spark.createDataFrame([(i, t, "z") for i, t in corpus()], SCHEMA)
     line_dedup.report(df, 5, 4).collect()
     assert {f.name.rsplit("-", 1)[0] for f in folder.iterdir() if f.name not in before} <= {"kept-lines"}
+
+
+def test_shuffle_files_are_deleted(spark):
+    import time
+
+    env = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get()
+
+    def shuffles() -> set[str]:
+        files = env.blockManager().diskBlockManager().getAllFiles().iterator()
+        found = set()
+        while files.hasNext():
+            found.add(files.next().getName())
+        return {name for name in found if name.startswith("shuffle_") and name.endswith(".data")}
+
+    df = spark.createDataFrame([(i, t, "z") for i, t in corpus()], SCHEMA)
+    before = shuffles()
+    line_dedup.kept_lines(df)
+    for _ in range(20):
+        if not shuffles() - before:
+            break
+        time.sleep(0.5)
+    assert not shuffles() - before
+
+
+def test_lines_of_many_words(spark):
+    """Parities of 64 and of 128 bits, on both sides of their border, at and around the similarity that counts."""
+    draw = random.Random(12)
+    rows = []
+    for i, n in enumerate([52, 58, 60, 61, 66, 75, 150, 300]):
+        base = [f"b{i}x{k}" for k in range(n)]
+        lines = [base]
+        for part in (0.1, 0.11, 0.112, 0.13, 0.2):
+            own = draw.sample(base, n - round(part * n))
+            lines += [own, own + [f"c{draw.randrange(10**6)}" for _ in range(n - len(own))]]
+        draw.shuffle(lines)
+        rows += [(100 * i + k, " ".join(line)) for k, line in enumerate(lines)]
+    df = spark.createDataFrame([(i, t, "z") for i, t in rows], SCHEMA)
+    got = [(r["doc_id"], r["n_lines"], r["text"]) for r in line_dedup.deduplicated(df).collect()]
+    assert sorted(got, key=str) == brute(rows)
