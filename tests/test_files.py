@@ -221,3 +221,21 @@ def test_landed_files_and_feeds(spark, tmp_path):
     assert landing.landing_paths("/l", "s", date(2021, 1, 31), date(2021, 2, 1)) == [
         "/l/ingest_date=2021-01-31/source=s", "/l/ingest_date=2021-02-01/source=s"
     ]
+
+
+def test_tag_texts_search_a_document_once(spark):
+    """One search finds all tags; documents whose sections hold tags, or come one after the other, are read as before."""
+    from pyspark.sql import functions as F
+
+    texts = assessor_xml.tag_texts(F.col("x"), ["a", "b.c", "e"])
+    plan = spark.createDataFrame([("",)], "x string").select(texts.alias("t"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("regexp_extract_all(x") == 1
+    documents = {
+        "<a>1</a><bxc>0</bxc><b.c x='/'>2</b.c><e/><e>3</e>": ["1", "2", None],
+        "<a><![CDATA[<e>in</e>]]> &amp; <![CDATA[&amp;]]>x</a><b.c>]]><![CDATA[y]]></b.c>": ["<e>in</e> & &amp;x", "]]>y", "in"],
+        "<a><![CDATA[ 2 < 3 <![CDATA[4]]>&#65;<b.c>5": ["2 < 3 4A", "5", None],
+        "<a x='<e>'>1<e> 2 </e><a>3</a>": ["'>1", None, "'>1"],
+        "<a><![CDATA[open <b.c>": ["open <b.c>", None, None],
+    }
+    df = spark.createDataFrame([(x,) for x in documents], "x string")
+    assert {r.x: r.t for r in df.select("x", texts.alias("t")).collect()} == documents
