@@ -239,3 +239,33 @@ def test_tag_texts_search_a_document_once(spark):
     }
     df = spark.createDataFrame([(x,) for x in documents], "x string")
     assert {r.x: r.t for r in df.select("x", texts.alias("t")).collect()} == documents
+
+
+def lineitem_folder(spark, tmp_path, rows=60) -> str:
+    """A folder with a ``lineitem`` table of its own: three months, one row without a day, one row twice."""
+    from datetime import datetime
+
+    days = [datetime(1995, 1 + i % 3, 1 + i % 28) for i in range(rows)]
+    lines = [(i, 7 * i, 5 * i, 1 + i % 7, "O", "N", day) for i, day in enumerate(days)]
+    lines += [lines[0], (rows, 1, 1, 1, "O", "N", None)]
+    schema = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_linestatus string, l_returnflag string, l_shipdate timestamp_ntz"
+    spark.createDataFrame(lines, schema).coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    return str(tmp_path)
+
+
+def test_documents_lie_in_folders_that_go(spark, tmp_path):
+    """Documents are written some at a time, each whole, and go when they have been read; together they are all documents."""
+    from pathlib import Path
+
+    from checks import file_feeds
+
+    sf_dir = lineitem_folder(spark, tmp_path)
+    every = Path(file_feeds.write_assessor_files(spark, sf_dir, "assessments"))
+    wanted = {f.name: sorted(f.read_text().splitlines()) for f in every.glob("*.xml")}
+    seen, folders = {}, []
+    for folder in file_feeds.assessor_batches(spark, sf_dir, "assessments", 25):
+        assert not any(Path(f).exists() for f in folders)
+        folders.append(folder)
+        seen |= {f.name: sorted(f.read_text().splitlines()) for f in Path(folder).glob("*.xml")}
+    assert seen == wanted and len(wanted) == 3
+    assert len(folders) == 3 and not any(Path(f).exists() for f in folders)
