@@ -667,8 +667,7 @@ def index_search(spark, sf_dir):
 
 
 def entry_counts(spark, sf_dir):
-    path = file_feeds.write_assessor_files(spark, sf_dir, "indices")
-    counts = assessor_xml.entry_counts(spark, path)
+    counts = _from_documents(spark, sf_dir, "indices", lambda path: assessor_xml.entry_counts(spark, path))
     month = F.regexp_extract("file_path", r"indices_(\d{4}-\d{2})\.xml", 1)
     return shown(counts.withColumn("month", month).drop("file_path"))
 
