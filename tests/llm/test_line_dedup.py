@@ -129,3 +129,18 @@ def test_lines_of_many_words(spark):
     df = spark.createDataFrame([(i, t, "z") for i, t in rows], SCHEMA)
     got = [(r["doc_id"], r["n_lines"], r["text"]) for r in line_dedup.deduplicated(df).collect()]
     assert sorted(got, key=str) == brute(rows)
+
+
+def test_rarity_counts_every_text(spark):
+    """Words that are in one text only count, whichever text it is: a word's cell has the level of its number of places."""
+    from math import floor, log2
+
+    from pyspark.sql import functions as F
+
+    times = {f"only{i}": 1 + i % 5 for i in range(40)}
+    df = spark.createDataFrame([(i, "\n".join([word] * n), "z") for i, (word, n) in enumerate(times.items())], SCHEMA)
+    levels = line_dedup.rarity(line_dedup.rows_of(df))
+    found = spark.createDataFrame([(w,) for w in times], "w string").select(
+        "w", F.ascii(F.substring(levels, line_dedup.cell(F.xxhash64("w")) + 1, 1).cast("string")).alias("level")
+    )
+    assert {r.w: r.level for r in found.collect()} == {w: floor(log2(n + 1) * 4) for w, n in times.items()}
