@@ -269,3 +269,20 @@ def test_documents_lie_in_folders_that_go(spark, tmp_path):
         seen |= {f.name: sorted(f.read_text().splitlines()) for f in Path(folder).glob("*.xml")}
     assert seen == wanted and len(wanted) == 3
     assert len(folders) == 3 and not any(Path(f).exists() for f in folders)
+
+
+def test_feeds_of_one_reader_are_not_landed(spark, tmp_path):
+    """A supplier's quotes are made straight from the table, with the rows of the landed feed; its tasks' rows are not moved first."""
+    from checks import feeds, queries
+
+    sf_dir = lineitem_folder(spark, tmp_path)
+    stored = queries.internal_table(spark, sf_dir).collect(), queries.exchange_table(spark, sf_dir).collect()
+    assert not any(key[1] == sf_dir for key in feeds._LANDED)
+    for name in ("raw_internal", "raw_spot", "raw_futures"):
+        direct = feeds.feed_once(spark, sf_dir, name).collect()
+        assert sorted(map(str, direct)) == sorted(map(str, feeds.feed(spark, sf_dir, name).collect())) and len(direct) == 62
+    landed = queries.internal_quotes(spark, sf_dir).collect(), queries.exchange_quotes(spark, sf_dir).collect()
+    assert [sorted(map(str, rows)) for rows in stored] == [sorted(map(str, rows)) for rows in landed] and all(stored)
+    cores = spark.sparkContext.defaultParallelism
+    assert feeds._spread(spark.range(cores * 2)).rdd.getNumPartitions() == cores and feeds._spread(spark.range(0, 9, 1, 1)).rdd.getNumPartitions() == cores
+    assert "Exchange" not in feeds._spread(spark.range(0, 9, 1, cores // 2))._jdf.queryExecution().executedPlan().toString()
