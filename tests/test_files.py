@@ -286,3 +286,20 @@ def test_feeds_of_one_reader_are_not_landed(spark, tmp_path):
     cores = spark.sparkContext.defaultParallelism
     assert feeds._spread(spark.range(cores * 2)).rdd.getNumPartitions() == cores and feeds._spread(spark.range(0, 9, 1, 1)).rdd.getNumPartitions() == cores
     assert "Exchange" not in feeds._spread(spark.range(0, 9, 1, cores // 2))._jdf.queryExecution().executedPlan().toString()
+
+
+def test_accepted_lines_are_not_stored_with_their_text(spark, folder, tmp_path, monkeypatch):
+    """The stage between reading and quotes holds file and line of what is set aside only; the quarantine has them as before."""
+    from quotebridge.plans import jobs
+    from quotebridge.sinks import tables
+
+    warehouse, seen = jobs.Warehouse(str(tmp_path / "silver"), str(tmp_path / "gold")), []
+    judge = jobs.shaping.quarantine
+    monkeypatch.setattr(jobs.shaping, "quarantine", lambda rows: (seen.extend(rows.select("source_line", jobs.shaping.is_valid().alias("ok")).collect()), judge(rows))[1])
+    (tmp_path / "in").mkdir()
+    spot = "ST;2021-10-26;2021-10-26 18:00:00\nSP;TTF;TTF DAY AHEAD;2021-10-27;2021-10-28;84,1234;EUR/MWh\nSP;T/F;TTF DAY AHEAD;2021-10-27;2021-10-28;84,1;EUR/MWh\nSP;PEG\n"
+    (tmp_path / "in" / "GasSpotMarketResults_TTF_1.csv").write_text(spot)
+    jobs.load_exchange(spark, str(tmp_path / "in"), warehouse, "X")
+    assert sorted((r.ok, r.source_line is None) for r in seen) == [(False, False), (True, True)]
+    rejected = tables.read_table(spark, warehouse.quarantine("exchange")).collect()
+    assert len(rejected) == 2 and all(r.source_line.startswith("SP;") and r.source_file.endswith("TTF_1.csv") for r in rejected)
